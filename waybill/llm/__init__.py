@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("mixing", "exact_dedup", "line_dedup")
+MODULES = ("substring_dedup", "suffix_dedup", "mixing", "exact_dedup", "line_dedup")
 
 
 def _all(name: str) -> dict:
