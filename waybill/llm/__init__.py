@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("substring_dedup", "suffix_dedup", "html_extract", "mixing", "exact_dedup", "line_dedup")
+MODULES = ("substring_dedup", "suffix_dedup", "html_extract", "topk", "mixing", "exact_dedup", "line_dedup")
 
 
 def _all(name: str) -> dict:
