@@ -90,7 +90,13 @@ class Queries:
             score = self.vectors[s : s + BLOCK].astype(np.float64) @ x.T
             score[self.ids[s : s + BLOCK, None] == ids] = -np.inf
             kth = -np.partition(-score, self.k - 1, axis=1)[:, self.k - 1]
-            self.least[s : s + BLOCK] = kth - 1 - 1e-9 * self.length[s : s + BLOCK] * np.sqrt((x**2).sum(axis=1).max())
+            slack = 1 + 1e-9 * self.length[s : s + BLOCK] * np.sqrt((x**2).sum(axis=1).max())
+            self.least[s : s + BLOCK] = self.held(np.minimum(kth, LONG.max) - slack)
+
+    @staticmethod
+    def held(least: np.ndarray) -> np.ndarray:
+        """Thresholds at the smallest number that fits exclude nothing."""
+        return np.where(least <= LONG.min, -np.inf, least)
 
     def reach(self, x: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Pairs (query, row) whose bound reaches the query's threshold."""
@@ -139,7 +145,7 @@ def _search(block, dims: int):
                 top = (q[keep], score[keep], ids[keep])
                 full = np.flatnonzero(np.bincount(top[0], minlength=len(least)) >= local.k)
                 last = np.searchsorted(top[0], full, side="right") - 1
-                least[full] = np.maximum(least[full], top[1][last])
+                least[full] = np.maximum(least[full], local.held(top[1][last].astype(np.float64) * (1 - 1e-15 * np.sign(top[1][last]))))
         yield pa.RecordBatch.from_arrays([pa.array(top[0]), pa.array(local.ids[top[0]] if len(top[0]) else np.zeros(0, np.int64)), pa.array(top[2]), pa.array(top[1])], names=["q", "query_id", "vec_id", "score"])
 
     return run
