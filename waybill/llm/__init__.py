@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("substring_dedup", "suffix_dedup", "html_extract", "topk", "mixing", "near_dedup", "exact_dedup", "line_dedup")
+MODULES = ("lang_id", "substring_dedup", "piece_codec", "suffix_dedup", "html_extract", "topk", "mixing", "near_dedup", "exact_dedup", "line_dedup")
 
 
 def _all(name: str) -> dict:
