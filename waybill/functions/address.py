@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import fmt_postcode, norm_text
+from .text import fmt_postcode, let, norm_text
 
 # USPS abbreviations.
 SUFFIXES = {"ALLEY": "ALY", "AVENUE": "AVE", "AV": "AVE", "BOULEVARD": "BLVD", "BRIDGE": "BRG", "BYPASS": "BYP", "CENTER": "CTR", "CIRCLE": "CIR", "COURT": "CT", "COVE": "CV", "CREEK": "CRK", "CRESCENT": "CRES", "CROSSING": "XING", "DRIVE": "DR", "EXPRESSWAY": "EXPY", "EXTENSION": "EXT", "FREEWAY": "FWY", "GARDENS": "GDNS", "GROVE": "GRV", "HEIGHTS": "HTS", "HIGHWAY": "HWY", "HILL": "HL", "HILLS": "HLS", "HOLLOW": "HOLW", "JUNCTION": "JCT", "LAKE": "LK", "LANDING": "LNDG", "LANE": "LN", "LOOP": "LOOP", "MANOR": "MNR", "MEADOWS": "MDWS", "MOUNTAIN": "MTN", "PARKWAY": "PKWY", "PLACE": "PL", "PLAZA": "PLZ", "POINT": "PT", "RIDGE": "RDG", "ROAD": "RD", "ROUTE": "RTE", "SQUARE": "SQ", "STATION": "STA", "STREET": "ST", "STR": "ST", "TERRACE": "TER", "TRAIL": "TRL", "TURNPIKE": "TPKE", "VALLEY": "VLY", "VIEW": "VW", "VILLAGE": "VLG", "VISTA": "VIS", "WAY": "WAY"}
@@ -32,23 +32,32 @@ def normalize_address(street: Column, city: Column, state: Column, postcode: Col
     """STRUCT<street, line_2, city, state, postcode, used_fallback>; all strings upper case, empty if missing."""
     numeric = F.lit(False) if numeric is None else numeric
     line_2 = F.lit("") if line_2 is None else line_2
-    plain = plain_address(street, city, state, postcode, numeric, line_2)
-    s = F.trim(F.regexp_replace(F.regexp_replace(norm_text(street), r"[.,;:'\"]", " "), r"\s+", " "))
-    s = F.regexp_replace(s, r"^P\s*O\s*BOX\s+#?\s*", "PO BOX ")
+    bare = lambda c: F.trim(F.regexp_replace(F.regexp_replace(norm_text(c), r"[.,;:'\"]", " "), r"\s+", " "))
     unit = r"^(.*\S)\s+((?:" + "|".join(k for k in UNITS if k != "#") + r")\s+\S+|#\s*\S+)$"
-    has_unit = s.rlike(unit) & ~s.rlike("^PO BOX ")
-    main = F.when(has_unit, F.regexp_extract(s, unit, 1)).otherwise(s)
-    extra = F.when(has_unit, F.regexp_replace(F.regexp_extract(s, unit, 2), r"^#\s*", "# ")).otherwise("")
-    words = F.split(main, " ")
-    n = F.size(words)
-    # The suffix is the last word, or the one before a closing direction; directions stand second or last.
-    closing = F.element_at(words, -1).isin(list(DIRECTIONS) + list(DIRECTIONS.values()))
-    last = F.when(closing & (n > 2), n - 2).otherwise(n - 1)
-    street_words = F.transform(words, lambda w, i: F.when((i == last) & (i >= 1), _mapped(SUFFIXES, w)).when(((i == 1) & (n > 3)) | ((i == n - 1) & (i > 2)), _mapped(DIRECTIONS, w)).otherwise(w))
     unit_of = lambda c: F.array_join(F.transform(F.split(c, " "), lambda w, i: F.when(i == 0, _mapped(UNITS, w)).otherwise(w)), " ")
-    given = F.trim(F.regexp_replace(F.regexp_replace(norm_text(line_2), r"[.,;:'\"]", " "), r"\s+", " "))
-    lines = F.filter(F.array(F.when(extra != "", unit_of(extra)).otherwise(""), F.when(given != "", unit_of(given)).otherwise("")), lambda x: x != "")
-    parsed = main.rlike(r"^(\d+\S* \S|PO BOX \S)")
-    known = _mapped(STATES, F.translate(norm_text(state), ".", ""))
-    field = lambda name, c: F.when(parsed, c).otherwise(plain[name]).alias(name)
-    return F.struct(field("street", F.when(main.rlike("^PO BOX "), main).otherwise(F.array_join(street_words, " "))), field("line_2", F.array_join(lines, " ")), field("city", F.translate(norm_text(city), ".,", "")), field("state", known), field("postcode", fmt_postcode(postcode, numeric)), (~parsed).alias("used_fallback"))
+    given = lambda c: let(bare(c), lambda g: F.when(g != "", unit_of(g)).otherwise(""))
+
+    def street_words(main: Column) -> Column:
+        """Abbreviations: the suffix is the last word, or the one before a closing direction; directions stand second or last."""
+
+        def short(words: Column) -> Column:
+            n = F.size(words)
+            closing = F.element_at(words, -1).isin(list(DIRECTIONS) + list(DIRECTIONS.values()))
+            last = F.when(closing & (n > 2), n - 2).otherwise(n - 1)
+            return F.array_join(F.transform(words, lambda w, i: F.when((i == last) & (i >= 1), _mapped(SUFFIXES, w)).when(((i == 1) & (n > 3)) | ((i == n - 1) & (i > 2)), _mapped(DIRECTIONS, w)).otherwise(w)), " ")
+
+        return F.when(main.startswith("PO BOX "), main).otherwise(let(F.split(main, " "), short))
+
+    def parts(s: Column) -> Column:
+        has_unit = s.rlike(unit) & ~s.startswith("PO BOX ")
+        split = F.struct(F.when(has_unit, F.regexp_extract(s, unit, 1)).otherwise(s).alias("main"), F.when(has_unit, F.regexp_replace(F.regexp_extract(s, unit, 2), r"^#\s*", "# ")).otherwise("").alias("extra"))
+        return let(split, result)
+
+    def result(q: Column) -> Column:
+        lines = F.filter(F.array(F.when(q.extra != "", unit_of(q.extra)).otherwise(""), given(line_2)), lambda x: x != "")
+        known = _mapped(STATES, F.translate(norm_text(state), ".", ""))
+        parsed = F.struct(street_words(q.main).alias("street"), F.array_join(lines, " ").alias("line_2"), F.translate(norm_text(city), ".,", "").alias("city"), known.alias("state"), fmt_postcode(postcode, numeric).alias("postcode"), F.lit(False).alias("used_fallback"))
+        plain = F.struct(norm_text(street).alias("street"), norm_text(line_2).alias("line_2"), norm_text(city).alias("city"), norm_text(state).alias("state"), fmt_postcode(postcode, numeric).alias("postcode"), F.lit(True).alias("used_fallback"))
+        return F.when(q.main.rlike(r"^(\d+\S* \S|PO BOX \S)"), parsed).otherwise(plain)
+
+    return let(F.regexp_replace(bare(street), r"^P\s*O\s*BOX\s+#?\s*", "PO BOX "), parts)

@@ -28,6 +28,11 @@ SHIP_TO_VARIANT = r"(?i)\b[a-z]?(?:sh|sm|sl)[a-z]{0,2}p?\s*t[o0u]\b"
 SHIP_FROM_VARIANT = r"(?i)\b[a-z]?(?:sh|sm|sl|sr)[a-z]{0,3}\s*(?:from|prom|rom|fram)\b"
 
 
+def let(c: Column, f) -> Column:
+    """f(c) with c evaluated once, however often f names it."""
+    return F.get(F.transform(F.array(c), f), 0)
+
+
 def strip(c: Column) -> Column:
     return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.address import normalize_address, plain_address
-from ..functions.text import fmt_postcode, norm_text, normalize_name, strip
+from ..functions.text import fmt_postcode, let, norm_text, normalize_name, strip
 
 CELLS = ["name", "al1", "al2", "city", "state", "postcode"]
 # Rule names and how grave each is.
@@ -24,19 +24,24 @@ def parse_al1(al1: Column) -> Column:
     A number follows the last separator (space, dash) in the strict form; failing
     that, the first six digits that stand alone after the first separator.
     """
-    s = strip(F.coalesce(al1, F.lit("")))
     none = F.lit(None).cast("string")
-    separated, strict = s.rlike(SEPARATOR), s.rlike(STRICT)
-    after = F.regexp_extract(s, r"(?s)^.*?\s+-(.*)$", 1)
-    six = F.nullif(F.regexp_extract(after, r"\b(\d{6})\b", 1), F.lit(""))
-    found = separated & ~strict & six.isNotNull()
-    return F.struct(
-        F.when(separated & strict, strip(F.regexp_extract(s, STRICT, 1))).when(found, strip(F.regexp_extract(s, r"(?s)^(.*?)\s+-", 1))).otherwise(s).alias("name"),
-        F.when(separated & strict, F.regexp_extract(s, STRICT, 2)).when(found, six).otherwise(none).alias("number"),
-        F.when(separated & strict, F.nullif(strip(F.regexp_extract(s, STRICT, 3)), F.lit(""))).otherwise(none).alias("extra"),
-        (~separated | strict).alias("parsed_ok"),
-        found.alias("recovered"),
-    )
+
+    def parts(s: Column) -> Column:
+        after = F.regexp_extract(s, r"(?s)^.*?\s+-(.*)$", 1)
+        seen = F.struct(s.alias("s"), s.rlike(SEPARATOR).alias("sep"), s.rlike(STRICT).alias("strict"), F.nullif(F.regexp_extract(after, r"\b(\d{6})\b", 1), F.lit("")).alias("six"))
+        return let(seen, result)
+
+    def result(q: Column) -> Column:
+        strict, found = q.sep & q.strict, q.sep & ~q.strict & q.six.isNotNull()
+        return F.struct(
+            F.when(strict, strip(F.regexp_extract(q.s, STRICT, 1))).when(found, strip(F.regexp_extract(q.s, r"(?s)^(.*?)\s+-", 1))).otherwise(q.s).alias("name"),
+            F.when(strict, F.regexp_extract(q.s, STRICT, 2)).when(found, q.six).otherwise(none).alias("number"),
+            F.when(strict, F.nullif(strip(F.regexp_extract(q.s, STRICT, 3)), F.lit(""))).otherwise(none).alias("extra"),
+            (~q.sep | q.strict).alias("parsed_ok"),
+            found.alias("recovered"),
+        )
+
+    return let(strip(F.coalesce(al1, F.lit(""))), parts)
 
 
 def master_rows(cells: DataFrame, usps: bool = True) -> DataFrame:

@@ -150,6 +150,11 @@ def csz_pick(lines: DataFrame) -> DataFrame:
     return found.withColumn("_r", F.row_number().over(order)).filter("_r = 1").drop("_r", "island")
 
 
+def _dealt(lines: DataFrame) -> DataFrame:
+    """Lines by page over all shuffle partitions: grouped Python code costs time, not bytes, so partitions aren't merged by size."""
+    return lines.repartition(int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions")), "invoice_id")
+
+
 def _clustered(rows: pd.DataFrame, tuning: Tuning) -> pd.DataFrame:
     rows = rows.sort_values(["y_top", "line_idx"], kind="stable")
     clusters: list[list] = []
@@ -174,7 +179,7 @@ def dedupe_passes(lines: DataFrame, tuning: Tuning = TUNING) -> DataFrame:
     and a similar one. Of nearly the longest members the tightest stays. One
     page's lines are one group.
     """
-    return lines.select(*LINE).groupBy("invoice_id").applyInPandas(lambda rows: _clustered(rows, tuning), LINE_TYPES)
+    return _dealt(lines.select(*LINE)).groupBy("invoice_id").applyInPandas(lambda rows: _clustered(rows, tuning), LINE_TYPES)
 
 
 def content_line(text: str) -> bool:
@@ -242,7 +247,7 @@ def walk_up(lines: DataFrame, csz: DataFrame, mid: DataFrame, profile: Profile =
     """
     rows = lines.select(*LINE).join(csz.select("invoice_id", F.col("line_idx").alias("_c")), "invoice_id").join(mid.select("invoice_id", "mid_y"), "invoice_id")
     rows = rows.withColumn("is_csz", F.col("line_idx") == F.col("_c")).drop("_c")
-    return rows.groupBy("invoice_id").applyInPandas(lambda r: _walked(r, profile, tuning), LINE_TYPES + ", is_csz boolean, pos int, stop_reason string")
+    return _dealt(rows).groupBy("invoice_id").applyInPandas(lambda r: _walked(r, profile, tuning), LINE_TYPES + ", is_csz boolean, pos int, stop_reason string")
 
 
 def split_block(block: DataFrame) -> DataFrame:
@@ -291,10 +296,20 @@ def best_variant(variants: DataFrame) -> DataFrame:
 
 
 def _near(tokens: Column, target: str, threshold: int) -> Column:
-    """Best ratio of a token with the target is at least the threshold: by LCS over built-ins, for short targets."""
-    from ..functions.fuzzy import ratio_native
+    """Whether some token reads like the target: its ratio is at least the threshold."""
+
+    @F.pandas_udf("boolean")
+    def near(lists: pd.Series) -> pd.Series:
+        known: dict[str, bool] = {}
+
+        def like(t: str) -> bool:
+            if t not in known:
+                known[t] = ratio(target, t) >= threshold
+            return known[t]
+
+        return lists.map(lambda ts: any(like(t) for t in ts))
 
-    return F.exists(tokens, lambda t: (t == target) | (ratio_native(t, F.lit(target)) >= threshold))
+    return near(tokens)
 
 
 def top_anchor(lines: DataFrame, carrier_tokens: tuple[str, ...] = ("badger",), carrier_codes: tuple[str, ...] = ("bdgw", "bogw")) -> DataFrame:

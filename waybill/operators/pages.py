@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.address import normalize_address, plain_address
-from ..functions.text import clean_name, filled, strip
+from ..functions.text import clean_name, filled, let, strip
 
 DATE = r"\d{2}/\d{2}/\d{4}"
 CSZ_LINE = r"^(.+?),\s+([A-Za-z]{2})\s+(\d{5}(?:-\d{4})?)\s*$"
@@ -34,7 +34,7 @@ def nth_date(text: Column, n: int) -> Column:
 
 
 def money(text: Column) -> Column:
-    return F.expr("NULL").cast("decimal(12,2)") if text is None else F.translate(text, ",", "").try_cast("decimal(12,2)")
+    return F.translate(text, ",", "").try_cast("decimal(12,2)")
 
 
 def consignee_block(layout: Column, two_columns: bool) -> Column:
@@ -44,19 +44,25 @@ def consignee_block(layout: Column, two_columns: bool) -> Column:
     With ``two_columns`` lines of one fragment are passed over and the last but
     one is the shipper's; without, a lone fragment counts as the consignee's.
     """
-    lines = F.split(F.coalesce(layout, F.lit("")), r"\r\n|\n|\r|\f")
-    headers = F.filter(F.transform(lines, lambda x, i: F.struct(i.alias("i"), F.regexp_replace(x, r"(?U)\s+$", "").endswith("CONSIGNEE").alias("is"))), lambda z: z["is"])
-    at = F.get(headers, 0)["i"]
-    rest = F.filter(F.slice(lines, at + 2, F.greatest(F.size(lines) - at - 1, F.lit(0))), lambda x: strip(x) != "")
-    parts = F.transform(rest, lambda x: F.split(strip(x), r"(?U)\s{3,}"))
-    if two_columns:
-        parts = F.filter(parts, lambda p: F.size(p) >= 2)
-    rows = F.slice(F.transform(parts, lambda p: F.struct(strip(F.element_at(p, -1)).alias("right"), F.try_element_at(p, F.lit(-2)).alias("left"))), 1, BLOCK_LINES)
-    city = F.array_position(F.transform(rows, lambda r: r.right.rlike(CSZ_LINE)), True).cast("int")
-    return F.struct(
-        at.isNotNull().alias("header"), F.size(parts).alias("n_lines"), F.when(at.isNotNull(), city).otherwise(0).alias("city_at"),
-        F.transform(rows, lambda r: r.right).alias("right"), F.transform(rows, lambda r: strip(r.left)).alias("left"),
-    )
+
+    def from_lines(lines: Column) -> Column:
+        headers = F.filter(F.transform(lines, lambda x, i: F.when(F.regexp_replace(x, r"(?U)\s+$", "").endswith("CONSIGNEE"), i)), lambda i: i.isNotNull())
+        return let(F.get(headers, 0), lambda at: F.when(at.isNotNull(), let(F.slice(lines, at + 2, F.greatest(F.size(lines) - at - 1, F.lit(0))), from_rest)).otherwise(nothing))
+
+    def from_rest(rest: Column) -> Column:
+        parts = F.transform(F.filter(F.transform(rest, strip), lambda x: x != ""), lambda x: F.split(x, r"(?U)\s{3,}"))
+        return let(F.filter(parts, lambda p: F.size(p) >= 2) if two_columns else parts, from_parts)
+
+    def from_parts(parts: Column) -> Column:
+        rows = F.slice(F.transform(parts, lambda p: F.struct(strip(F.element_at(p, -1)).alias("right"), strip(F.try_element_at(p, F.lit(-2))).alias("left"))), 1, BLOCK_LINES)
+        return let(rows, lambda r: result(F.lit(True), F.size(parts), F.array_position(F.transform(r, lambda x: x.right.rlike(CSZ_LINE)), True), F.transform(r, lambda x: x.right), F.transform(r, lambda x: x.left)))
+
+    def result(header: Column, n: Column, at: Column, right: Column, left: Column) -> Column:
+        texts = "array<string>"
+        return F.struct(header.alias("header"), n.cast("int").alias("n_lines"), at.cast("int").alias("city_at"), right.cast(texts).alias("right"), left.cast(texts).alias("left"))
+
+    nothing = result(F.lit(False), F.lit(0), F.lit(0), F.array(), F.array())
+    return let(F.split(F.coalesce(layout, F.lit("")), r"\r\n|\n|\r|\f"), from_lines)
 
 
 def block_fields(b: Column) -> tuple[dict[str, Column], Column]:
@@ -76,28 +82,39 @@ def block_fields(b: Column) -> tuple[dict[str, Column], Column]:
     return values, reason
 
 
+def _held(rows: DataFrame, name: str, fields: list[Column]) -> DataFrame:
+    """Adds a struct that is computed once a row.
+
+    Spark substitutes expressions into later filters and projections, so an
+    expensive one would run once for each mention; it doesn't reach through a generator.
+    """
+    return rows.withColumn(name, F.explode(F.array(F.struct(*fields))))
+
+
 def _result(pages: DataFrame, raw: dict[str, Column], why: dict[str, Column], block: Column, two_columns: bool) -> DataFrame:
     """Fields, reasons and parse_error from raw strings (dates and money not yet converted)."""
-    rows = pages.withColumn("_b", block)
-    values, whole = block_fields(F.col("_b"))
-    dates = {k: raw[k] for k in ("invoice_date", "ship_date", "past_due_date")}
+    rows = _held(pages, "_q", [block.alias("block"), *[c.alias(k) for k, c in raw.items()]])
+    q = {k: F.col(f"_q.{k}") for k in raw}
+    values, whole = block_fields(F.col("_q.block"))
+    rows = _held(rows, "_v", [whole.alias("whole"), *[c.alias(k) for k, c in values.items()]])
+    values, whole = {k: F.col(f"_v.{k}") for k in values}, F.col("_v.whole")
+    dates = ("invoice_date", "ship_date", "past_due_date")
     bad = F.lit(False)
-    for c in dates.values():
-        bad = bad | (c.isNotNull() & day(c).isNull())
-    out = {k: v for k, v in raw.items()}
-    out |= {k: day(v) for k, v in dates.items()} | {"total_amount": money(raw["total_amount"])}
-    out |= {k: v for k, v in values.items() if k != "left_name"}
+    for k in dates:
+        bad = bad | (q[k].isNotNull() & day(q[k]).isNull())
+    out = dict(q) | {k: day(q[k]) for k in dates} | {"total_amount": money(q["total_amount"])} | {k: v for k, v in values.items() if k != "left_name"}
     if two_columns:
         out["shipper"] = values["left_name"]
-    reasons = {k: F.when(raw[k].isNull(), w) for k, w in why.items()}
+    reasons = {k: F.when(q[k].isNull(), w) for k, w in why.items()}
     for k in values:
         if k == "left_name" and not two_columns:
             continue
-        name = "shipper" if k == "left_name" else k
         missing = {"consignee_address_line_1": "no address line found between name and city/state/zip", "left_name": "shipper name not found in CONSIGNEE block"}.get(k)
-        reasons[name] = F.coalesce(whole, F.when(~filled(values[k]), missing)) if missing else whole
+        reasons["shipper" if k == "left_name" else k] = F.coalesce(whole, F.when(~filled(values[k]), missing)) if missing else whole
     entries = F.filter(F.array(*[F.struct(F.lit(k).alias("k"), reasons[k].alias("v")) for k in FIELDS]), lambda e: e.v.isNotNull())
-    return rows.select(*pages.columns, *[out[k].alias(k) for k in FIELDS], F.map_from_entries(F.transform(entries, lambda e: F.struct(e.k, e.v))).alias("reasons"), bad.alias("parse_error"))
+    told = F.map_from_entries(F.transform(entries, lambda e: F.struct(e.k, e.v)))
+    rows = _held(rows, "_f", [*[out[k].alias(k) for k in FIELDS], told.alias("reasons"), bad.alias("parse_error")])
+    return rows.select(*pages.columns, "_f.*")
 
 
 # Shippers in the order they are looked for, and the short name of one.

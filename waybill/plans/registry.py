@@ -16,6 +16,7 @@ from ..operators import match as R
 from ..operators import ocr as O
 from ..operators import pages as P
 from ..sources.derived import DENY, OWN_NAME, view, with_views
+from .shared import settled
 from .vendors import VENDORS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -98,6 +99,15 @@ RULES = {
 VIOLATIONS = " UNION ALL ".join(f"SELECT * FROM ({q}) AS t(row, rule, severity)" for q in RULES.values())
 
 
+def texts(df: DataFrame, *columns: str) -> DataFrame:
+    """Dates, amounts and numbers that may be missing, as text: both engines print these alike."""
+    return df.withColumns({c: F.col(c).cast("string") for c in columns})
+
+
+def s_texts(sql: str, *columns: str) -> str:
+    return f"SELECT * REPLACE ({', '.join(f'CAST({c} AS VARCHAR) AS {c}' for c in columns)}) FROM ({sql})"
+
+
 def base(*views: str, **more: str) -> str:
     return with_views("master_cells", *views, al1p=AL1, mrows=ROWS, master=MASTER, **more)
 
@@ -293,9 +303,9 @@ DECIDED = f"""SELECT invoice_id, CASE WHEN denied THEN 'denied' ELSE m END AS me
 MATCH = dict(ext=EXT, hits=HITS, cnt=COUNTS, cands=CANDS, named=NAMED, prs=PRS, sets1=SETS, sets2=SETS2, scores=SCORES, best=BEST, src=SRC, fulls=FULL, policy=POLICY, decided=DECIDED)
 
 
-@query("match_source", base("extraction", **MATCH) + " SELECT invoice_id, source, method, row, score, CAST(n_candidates AS INTEGER) AS n_candidates FROM src")
+@query("match_source", base("extraction", **MATCH) + s_texts(" SELECT invoice_id, source, method, row, score, CAST(n_candidates AS INTEGER) AS n_candidates FROM src", "row", "score"))
 def _(spark, d):
-    return R.match_sources(_extractions(spark, d), _master(spark, d)).select("invoice_id", "source", "method", F.col("entry.row").alias("row"), "score", "n_candidates")
+    return texts(R.match_sources(_extractions(spark, d), _master(spark, d)).select("invoice_id", "source", "method", F.col("entry.row").alias("row"), "score", "n_candidates"), "row", "score")
 
 
 @query("name_disambiguation", base("extraction", **MATCH) + " SELECT n.invoice_id, n.source, n.cand, n.shipto_name, s.score FROM named n JOIN scores s ON n.cn = s.a AND n.rn = s.b")
@@ -304,9 +314,9 @@ def _(spark, d):
     return m.select("invoice_id", "source", F.explode("matrix").alias("x")).select("invoice_id", "source", "x.*")
 
 
-@query("match_invoice", base("extraction", **MATCH) + " SELECT invoice_id, method, severity, success, customer_name, customer_number, master_row, bol_method, bol_score, inv_method, inv_score FROM decided")
+@query("match_invoice", base("extraction", **MATCH) + s_texts(" SELECT invoice_id, method, severity, success, customer_name, customer_number, master_row, bol_method, bol_score, inv_method, inv_score FROM decided", "master_row", "bol_score", "inv_score"))
 def _(spark, d):
-    return _match(spark, d).select("invoice_id", "method", "severity", "success", "customer_name", "customer_number", "master_row", "bol_method", "bol_score", "inv_method", "inv_score")
+    return texts(_match(spark, d).select("invoice_id", "method", "severity", "success", "customer_name", "customer_number", "master_row", "bol_method", "bol_score", "inv_method", "inv_score"), "master_row", "bol_score", "inv_score")
 
 
 @query("match_summary", base("extraction", **MATCH) + " SELECT method, severity, count(*) AS n FROM decided GROUP BY ALL")
@@ -325,9 +335,9 @@ def _(spark, d):
 
 
 # --- bills ------------------------------------------------------------------------
-@query("bill_dates", with_views("orders_keyed") + " SELECT invoice_id, CASE WHEN date_trunc('month', invoice_date) = date_trunc('month', ship_date) THEN invoice_date ELSE ship_date END AS bill_date, CAST(past_due_date - 1 AS DATE) AS due_date FROM orders_keyed")
+@query("bill_dates", with_views("orders_keyed") + s_texts(" SELECT invoice_id, CASE WHEN date_trunc('month', invoice_date) = date_trunc('month', ship_date) THEN invoice_date ELSE ship_date END AS bill_date, CAST(past_due_date - 1 AS DATE) AS due_date FROM orders_keyed", "bill_date", "due_date"))
 def _(spark, d):
-    return view(spark, d, "orders_keyed").select("invoice_id", B.bill_date(F.col("invoice_date"), F.col("ship_date")).alias("bill_date"), B.due_date(F.col("past_due_date")).alias("due_date"))
+    return texts(view(spark, d, "orders_keyed").select("invoice_id", B.bill_date(F.col("invoice_date"), F.col("ship_date")).alias("bill_date"), B.due_date(F.col("past_due_date")).alias("due_date")), "bill_date", "due_date")
 
 
 def s_category(c: str, v: str) -> str:
@@ -382,6 +392,7 @@ def s_fields(v: str) -> str:
     return f"SELECT *, {day('r1')} AS invoice_date, {day('r2')} AS ship_date, {day('r3')} AS past_due_date, CAST(replace(amount, ',', '') AS DECIMAL(12,2)) AS total_amount, ({bad}) AS parse_error FROM (SELECT *, {raw}, {block} FROM blk)"
 
 
+TYPED = ["invoice_date", "ship_date", "past_due_date", "total_amount"]
 FLAT = ["invoice_id", "invoice_number", "invoice_date", "ship_date", "past_due_date", "shipper", "consignee", "line_1", "line_2", "city", "state", "postcode", "so_number", "total_amount", "parse_error"]
 
 
@@ -390,7 +401,7 @@ def _flat(df):
 
 
 for _v in ("a", "b"):
-    query(f"parse_vendor_{_v}", with_views("pages", blk=s_block(_v), parsed=s_fields(_v)) + f" SELECT {', '.join(FLAT)} FROM parsed")(lambda spark, d, v=_v: _flat(_parsed(spark, d, v)))
+    query(f"parse_vendor_{_v}", with_views("pages", blk=s_block(_v), parsed=s_fields(_v)) + s_texts(f" SELECT {', '.join(FLAT)} FROM parsed", *TYPED))(lambda spark, d, v=_v: texts(_flat(_parsed(spark, d, v)), *TYPED))
     query(f"consignee_block_{_v}", with_views("pages", blk=s_block(_v)) + " SELECT invoice_id, CAST(k AS INTEGER) AS city_at, array_to_string(rgt, '|') AS right_col FROM blk")(
         lambda spark, d, v=_v: view(spark, d, "pages").filter(F.col("vendor") == v).select("invoice_id", P.consignee_block(F.col("layout"), v == "b").alias("b")).select("invoice_id", F.coalesce("b.city_at", F.lit(0)).alias("city_at"), F.array_join(F.coalesce("b.right", F.array().cast("array<string>")), "|").alias("right_col"))
     )
@@ -422,9 +433,9 @@ RUN = dict(**MATCH, blk=s_block("a"), parsed=s_fields("a"), miss="SELECT *, CASE
 BILLABLE = "FROM miss p JOIN decided m ON p.invoice_id = m.invoice_id WHERE NOT p.parse_error AND p.gone IS NULL AND m.success"
 
 
-@query("bills", base("extraction", "pages", **RUN) + f" SELECT p.invoice_id, '{VENDORS['a'].bill_name}' AS vendor, CASE WHEN date_trunc('month', invoice_date) = date_trunc('month', ship_date) THEN invoice_date ELSE ship_date END AS bill_date, CAST(past_due_date - 1 AS DATE) AS due_date, invoice_number AS bill_number, {s_category('shipper', 'a')} AS category, so_number AS description, total_amount AS amount, m.customer_name AS customer, so_number AS memo {BILLABLE}")
+@query("bills", base("extraction", "pages", **RUN) + s_texts(f" SELECT p.invoice_id, '{VENDORS['a'].bill_name}' AS vendor, CASE WHEN date_trunc('month', invoice_date) = date_trunc('month', ship_date) THEN invoice_date ELSE ship_date END AS bill_date, CAST(past_due_date - 1 AS DATE) AS due_date, invoice_number AS bill_number, {s_category('shipper', 'a')} AS category, so_number AS description, total_amount AS amount, m.customer_name AS customer, so_number AS memo {BILLABLE}", "bill_date", "due_date", "amount"))
 def _(spark, d):
-    return _outcome(spark, d)[2]
+    return texts(_outcome(spark, d)[2], "bill_date", "due_date", "amount")
 
 
 @query("bill_rows", base("extraction", "pages", **RUN) + f""" SELECT invoice_number AS "Bill no.", '{VENDORS['a'].bill_name}' AS "Vendor", strftime(CASE WHEN date_trunc('month', invoice_date) = date_trunc('month', ship_date) THEN invoice_date ELSE ship_date END, '%m/%d/%Y') AS "Bill Date", strftime(CAST(past_due_date - 1 AS DATE), '%m/%d/%Y') AS "Due Date", 'Category Details' AS "Type", {s_category('shipper', 'a')} AS "Category", so_number AS "Description", CAST(total_amount AS VARCHAR) AS "Amount", m.customer_name AS "Customer / Project", so_number AS "Memo" {BILLABLE}""")
@@ -513,12 +524,12 @@ def _(spark, d):
 
 STREET = r"regexp_matches(u, '^\s*\d+') OR regexp_matches(u, '(?i)^\s*p\.?\s*o\.?\s*box\b')"
 USPS = r"trim(regexp_replace(regexp_replace(text, '[^A-Za-z0-9 \-/#]', ' ', 'g'), '\s+', ' ', 'g'))"
-SPLIT = f"""SELECT *, max(CASE WHEN NOT is_csz AND u <> '' AND ({STREET}) THEN i END) OVER (PARTITION BY invoice_id) AS at FROM (SELECT *, line_idx = 7 AS is_csz, {USPS} AS u, row_number() OVER (PARTITION BY invoice_id ORDER BY y_top, line_idx) AS i FROM ocr_lines)"""
+SPLIT = f"""SELECT *, max(CASE WHEN NOT is_csz AND u <> '' AND ({STREET}) THEN i END) OVER (PARTITION BY invoice_id) AS spot FROM (SELECT *, line_idx % 100 = 7 AS is_csz, {USPS} AS u, row_number() OVER (PARTITION BY invoice_id ORDER BY y_top, line_idx) AS i FROM ocr_lines)"""
 
 
-@query("street_split", with_views("ocr_lines", spl=SPLIT) + " SELECT invoice_id, line_idx, CASE WHEN is_csz THEN 'csz' WHEN at IS NULL OR i < at THEN 'name' WHEN i = at THEN 'street' ELSE 'line_2' END AS part FROM spl")
+@query("street_split", with_views("ocr_lines", spl=SPLIT) + " SELECT invoice_id, line_idx, CASE WHEN is_csz THEN 'csz' WHEN spot IS NULL OR i < spot THEN 'name' WHEN i = spot THEN 'street' ELSE 'line_2' END AS part FROM spl")
 def _(spark, d):
-    return O.split_block(view(spark, d, "ocr_lines").withColumn("is_csz", F.col("line_idx") == 7)).select("invoice_id", "line_idx", "part")
+    return O.split_block(view(spark, d, "ocr_lines").withColumn("is_csz", F.col("line_idx") % 100 == 7)).select("invoice_id", "line_idx", "part")
 
 
 LINES = "SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents"
@@ -549,7 +560,7 @@ def _(spark, d):
 
 @query("best_variant")
 def _(spark, d):
-    rows = view(spark, d, "ocr_lines").select("invoice_id", F.col("line_idx").cast("int").alias("variant_idx"), "text")
+    rows = view(spark, d, "ocr_lines").select("invoice_id", F.col("line_idx").alias("variant_idx"), "text")
     return O.best_variant(rows)
 
 
@@ -558,26 +569,28 @@ def _(spark, d):
     return O.dedupe_passes(view(spark, d, "ocr_lines"))
 
 
+def _block(spark, d):
+    lines = settled(O.dedupe_passes(view(spark, d, "ocr_lines")))
+    csz = O.csz_pick(lines)
+    return O.walk_up(lines, csz, lines.groupBy("invoice_id").agg(F.min("y_top").alias("mid_y"))), csz
+
+
 @query("walk_up")
 def _(spark, d):
-    lines = O.dedupe_passes(view(spark, d, "ocr_lines"))
-    mid = lines.groupBy("invoice_id").agg(F.min("y_top").alias("mid_y"))
-    return O.walk_up(lines, O.csz_pick(lines), mid)
+    return _block(spark, d)[0]
 
 
 @query("bol_ship_to")
 def _(spark, d):
-    lines = O.dedupe_passes(view(spark, d, "ocr_lines"))
-    csz = O.csz_pick(lines)
-    mid = lines.groupBy("invoice_id").agg(F.min("y_top").alias("mid_y"))
-    return O.bol_ship_to(O.split_block(O.walk_up(lines, csz, mid)), csz).select("invoice_id", "name", "address.street", "address.postcode", "success", "csz_line")
+    block, csz = _block(spark, d)
+    return O.bol_ship_to(O.split_block(block), csz).select("invoice_id", "name", "address.street", "address.postcode", "success", "csz_line")
 
 
 @query("top_anchor")
 def _(spark, d):
-    return O.top_anchor(view(spark, d, "ocr_lines").withColumn("text", F.when(F.col("line_idx") == 3, "SMP TO Carrier").otherwise(F.col("text"))))
+    return O.top_anchor(view(spark, d, "ocr_lines").withColumn("text", F.when(F.col("line_idx") % 100 == 3, "SMP TO Carrier").otherwise(F.col("text"))))
 
 
 @query("bottom_anchor")
 def _(spark, d):
-    return O.bottom_anchor(view(spark, d, "ocr_lines").withColumn("text", F.when(F.col("line_idx") == 5, "Thirb Party Freight Chargs biel to").otherwise(F.col("text"))))
+    return O.bottom_anchor(view(spark, d, "ocr_lines").withColumn("text", F.when(F.col("line_idx") % 100 == 5, "Thirb Party Freight Chargs biel to").otherwise(F.col("text"))))
