@@ -12,8 +12,10 @@
 4. Spans return to the chunks, which cut them out.
 
 The chunks' exchange of texts is one exchange in the plan, read by each step.
-No step gathers more than a chunk or the windows of one minimiser; minimisers
-that are frequent within a chunk are dealt by single windows instead.
+A packed string that several documents of a chunk share is sent for the
+smallest only; the others' spans are known at once. Frequent minimisers (common
+lines, say) are dealt by a second hash of the window as well, its grams half a
+window to the right or left, so that different contexts part.
 """
 
 from __future__ import annotations
@@ -35,8 +37,8 @@ POS_BITS = np.uint64(24)
 POS_MASK = np.uint64((1 << 24) - 1)
 #: Windows in one slice; positions in a slice fit POS_BITS.
 SLICE = 1 << 18
-#: A minimiser in at least so many documents of a chunk is dealt by single windows.
-HOT = 64
+#: A minimiser in at least so many documents is dealt by its context as well. Results don't depend on it.
+HOT = 1000
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -115,8 +117,8 @@ def bytes_of(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(data), np.concatenate(offsets)
 
 
-def numbers(column: pa.ChunkedArray) -> np.ndarray:
-    return column.combine_chunks().to_numpy(zero_copy_only=False)
+def numbers(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    return (column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column).to_numpy(zero_copy_only=False)
 
 
 @dataclass(frozen=True)
@@ -147,6 +149,10 @@ class Units:
     def gram_hashes(self, start: int, end: int) -> np.ndarray:
         raise NotImplementedError
 
+    def gram_at(self, unit: np.ndarray) -> np.ndarray:
+        """Hashes of the grams that begin at these units."""
+        raise NotImplementedError
+
     def runs(self):
         """For each slice: runs of windows with one minimiser as (minimiser, its unit, first window, windows, document)."""
         n, width, gram = int(self.first[-1]), self.plan.window, self.plan.gram
@@ -186,6 +192,10 @@ class Bytes(Units):
         x = mix(x + a[start + 8 : end + 8] * K3)
         return x + a[start + g - 8 : end + g - 8] * K2
 
+    def gram_at(self, unit):
+        a, g = self.at, self.plan.gram
+        return mix(mix(a[unit] * K2) + a[unit + 8] * K3) + a[unit + g - 8] * K2
+
 
 class Words(Units):
     """Words are runs of anything but ASCII white space; buf joins them by single spaces."""
@@ -226,6 +236,12 @@ class Words(Units):
             x = (x + self.hashes[start + k : end + k]) * K3
         return x
 
+    def gram_at(self, unit):
+        x = np.zeros(len(unit), dtype=np.uint64)
+        for k in range(self.plan.gram):
+            x = (x + self.hashes[unit + k]) * K3
+        return x
+
 
 def _take(left: pa.Table, right: pa.Table, plan: Plan, copies_too: bool = False):
     """A chunk's rows that are searched, as (units, rows' rid, rows' id)."""
@@ -246,7 +262,7 @@ SPANS = "chunk int, rid long, s int, e int"
 
 
 def _anchors(plan: Plan, buckets: int):
-    """Step 2: the distinct minimisers of a chunk; f: 1 if several of its documents hold it, 2 more if at least HOT do."""
+    """Step 2: the distinct minimisers of a chunk; f: in how many of its documents, up to 255."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         chunk = left.column("chunk")[0].as_py() if left.num_rows else 0
@@ -254,7 +270,7 @@ def _anchors(plan: Plan, buckets: int):
         found = [np.unique((h << np.uint64(24)) | doc.astype(np.uint64)) for h, _, _, _, doc in units.runs()]
         h = (np.unique(np.concatenate(found)) >> np.uint64(24)) if found else np.zeros(0, np.uint64)
         h, n = np.unique(h, return_counts=True)
-        f = (n > 1).astype(np.uint8) + 2 * (n >= HOT).astype(np.uint8)
+        f = np.minimum(n, 255).astype(np.uint8)
         b = (h % np.uint64(buckets)).astype(np.int32)
         order = np.argsort(b, kind="stable")
         b, h, f = b[order], h[order], f[order]
@@ -266,8 +282,8 @@ def _anchors(plan: Plan, buckets: int):
     return run
 
 
-def _repeated(buckets: int):
-    """Step 2: for each chunk, its minimisers that several documents hold, with the lowest bit for those dealt by windows."""
+def _repeated(buckets: int, hot_from: int):
+    """Step 2: for each chunk, its minimisers that several documents hold, with the lowest bit for frequent ones."""
 
     def run(t: pa.Table) -> pa.Table:
         bucket = t.column("bucket")[0].as_py()
@@ -279,9 +295,9 @@ def _repeated(buckets: int):
         h, f, chunk = h[order], f[order], chunk[order]
         at = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
         n = np.diff(np.append(at, len(h)))
-        flags = np.bitwise_or.reduceat(f, at)
-        more = np.repeat((n > 1) | (flags & 1).astype(bool), n)
-        hot = np.repeat(flags >> 1, n)
+        docs = np.add.reduceat(f.astype(np.int64), at)
+        more = np.repeat(docs > 1, n)
+        hot = np.repeat(docs >= hot_from, n)
         h, hot, chunk = h[more].astype(np.uint64), hot[more].astype(np.uint64), chunk[more]
         full = ((h * np.uint64(buckets) + np.uint64(bucket)) << np.uint64(1)) | hot
         order = np.argsort(chunk, kind="stable")
@@ -292,6 +308,31 @@ def _repeated(buckets: int):
     return run
 
 
+def _once(t: pa.Table, plan: Plan) -> pa.Table:
+    """Packed strings that repeat in the chunk, for the smallest document only; for others the span, without a string.
+
+    Such a row has its span in ``at`` and ``anchor``, and a key that spreads.
+    """
+    code = numbers(t.column("seg").combine_chunks().dictionary_encode().indices)
+    ids = numbers(t.column("id"))
+    order = np.lexsort((ids, code))
+    starts = np.flatnonzero(np.append(True, code[order][1:] != code[order][:-1])) if len(order) else np.zeros(0, np.int64)
+    least = np.empty(len(code), dtype=np.int64)
+    least[order] = np.repeat(ids[order][starts], np.diff(np.append(starts, len(order))))
+    late = ids > least
+    if not late.any():
+        return t
+    seg = t.column("seg").filter(pa.array(late))
+    if plan.kind == "bytes":
+        size = pa.compute.binary_length(seg).to_numpy().astype(np.int64)
+    else:
+        size = pa.compute.count_substring(seg, " ").to_numpy().astype(np.int64) + 1
+    gone = t.filter(pa.array(late))
+    at = numbers(gone.column("at"))
+    known = pa.table({"key": gone.column("rid"), "chunk": gone.column("chunk"), "rid": gone.column("rid"), "id": gone.column("id"), "at": at, "anchor": (at + size).astype(np.int32), "seg": pa.nulls(gone.num_rows, pa.binary())})
+    return pa.concat_tables([t.filter(pa.array(~late)), known])
+
+
 def _segments(plan: Plan):
     """Step 3: runs of windows whose minimiser repeats, as packed strings."""
 
@@ -309,18 +350,20 @@ def _segments(plan: Plan):
                 h, unit, first, n, doc, alone = h[hit], unit[hit], first[hit], n[hit], doc[hit], hot[k[hit]].astype(bool)
                 key, anchor = h.astype(np.int64), unit - first  # the minimiser's place, seen from the first window
                 if alone.any():
-                    of = np.repeat(np.flatnonzero(alone), n[alone])
-                    one = np.arange(len(of)) - np.repeat(np.cumsum(n[alone]) - n[alone], n[alone]) + first[of]
-                    s, e = units.span(one, one + plan.window)
-                    lo = s[0]
-                    # Only such a key is negative. It may also hold windows of other minimisers, which is harmless.
-                    keys = (mix(Prefix(units.buf[lo : int(e.max())]).of(s - lo, e - lo)) | np.uint64(1 << 63)).view(np.int64)
+                    # Two parts of each run: windows that hold the gram half a window to the right of the minimiser, and the rest, which hold the one to its left.
+                    half = (plan.window - plan.gram) // 2
+                    u, w, m, i = unit[alone], first[alone], n[alone], np.flatnonzero(alone)
+                    cut = np.clip(u - (plan.window - plan.gram - half), w, w + m)
+                    parts = [(i[z > 0], v[z > 0], z[z > 0], g[z > 0], k) for v, z, g, k in ((w, cut - w, u - half, K2), (cut, w + m - cut, u + half, K3))]
                     stay = ~alone
-                    key, anchor = np.concatenate([key[stay], keys]), np.concatenate([anchor[stay], np.zeros(len(one), np.int64)])
-                    first, n, doc = np.concatenate([first[stay], one]), np.concatenate([n[stay], np.ones(len(one), np.int64)]), np.concatenate([doc[stay], doc[of]])
+                    keys = [mix(h[i] * k + mix(units.gram_at(g))).view(np.int64) for i, _, _, g, k in parts]
+                    own = np.concatenate([i for i, *_ in parts])
+                    key, first, n = np.concatenate([key[stay], *keys]), np.concatenate([first[stay], *[v for _, v, _, _, _ in parts]]), np.concatenate([n[stay], *[z for _, _, z, _, _ in parts]])
+                    doc, unit = np.concatenate([doc[stay], doc[own]]), np.concatenate([unit[stay], unit[own]])
+                    anchor = unit - first
                 s, e = units.span(first, first + n + plan.window - 1)
                 out.append(pa.table({"key": key, "chunk": np.full(len(key), chunk, np.int32), "rid": rid[doc], "id": ids[doc], "at": (first - units.first[doc]).astype(np.int32), "anchor": anchor.astype(np.int32), "seg": slices(units.buf, s, e)}))
-        return pa.concat_tables(out) if out else pa.table({"key": pa.array([], pa.int64()), "chunk": pa.array([], pa.int32()), "rid": pa.array([], pa.int64()), "id": pa.array([], pa.int64()), "at": pa.array([], pa.int32()), "anchor": pa.array([], pa.int32()), "seg": pa.array([], pa.binary())})
+        return _once(pa.concat_tables(out), plan) if out else pa.table({"key": pa.array([], pa.int64()), "chunk": pa.array([], pa.int32()), "rid": pa.array([], pa.int64()), "id": pa.array([], pa.int64()), "at": pa.array([], pa.int32()), "anchor": pa.array([], pa.int32()), "seg": pa.array([], pa.binary())})
 
     return run
 
@@ -405,6 +448,9 @@ def _spans(plan: Plan, classes, piece: int = 1 << 20):
     def run(batches):
         held, size, seen = [], 0, {}
         for batch in batches:
+            known = batch.filter(pa.compute.is_null(batch.column("seg")))
+            yield pa.RecordBatch.from_arrays([known.column(c) for c in ("chunk", "rid", "at", "anchor")], names=["chunk", "rid", "s", "e"])
+            batch = batch.filter(pa.compute.is_valid(batch.column("seg")))
             for k in range(0, batch.num_rows, 2048):
                 part = batch.slice(k, 2048)
                 held.append(part)
@@ -482,7 +528,7 @@ def remove_repeats(docs: DataFrame, plan: Plan, classes, id_col: str, text_col:
     # New names for the side's columns: it stems from the same rows, and Spark tells columns apart by origin.
     with_side = lambda side: by_chunk(dealt).cogroup(by_chunk(side.select([F.col(c).alias(c) for c in side.columns])))
     anchors = with_side(copies).applyInArrow(_anchors(plan, buckets), ANCHORS)
-    back = anchors.groupBy("bucket").applyInArrow(_repeated(buckets), BACK)
+    back = anchors.groupBy("bucket").applyInArrow(_repeated(buckets, HOT), BACK)
     side = back.unionByName(copies.withColumn("h", F.lit(None).cast("binary")))
     segments = with_side(side).applyInArrow(_segments(plan), SEGMENTS)
     spans = segments.repartition(partitions(spark), "key").sortWithinPartitions("key", "id").mapInArrow(_spans(plan, classes), SPANS)
