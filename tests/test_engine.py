@@ -14,6 +14,7 @@ from waybill.functions import fuzzy as Z
 from waybill.functions import text as X
 from waybill.functions.address import normalize_address
 from waybill.operators import bills as B
+from waybill.operators import lines as L
 from waybill.operators import master as M
 from waybill.operators import match as R
 from waybill.operators import ocr as O
@@ -418,6 +419,35 @@ def test_whole_extraction(spark):
     assert not got["none"].success and "neither" in got["none"].failure_reason
 
 
+def test_parse_address(spark):
+    f = lambda c: L.parse_address(c)
+    got = one(spark, f, ("ship to:\nAcme\nFoods\n12 Main Street\nSuite 4\nTampa, FL 33601\nrest",), ("Tampa, fl 33601",), ("Acme\nno city",), ("",), ("Acme\nOak Hall\nTampa FL 33601-1234",), ("9 First St\nBig Co\nOcala, FL 34470",))
+    assert [tuple(x) for x in got] == [
+        ("Acme Foods", "12 MAIN ST", "STE 4", "TAMPA", "FL", "33601", ""),
+        ("Tampa, fl 33601", None, None, None, None, None, "no city/state/zip pattern found"),
+        ("Acme", None, None, None, None, None, "no city/state/zip pattern found"),
+        (None, None, None, None, None, None, "no usable OCR lines"),
+        ("Acme", "OAK HALL", None, "TAMPA", "FL", "33601-1234", ""),
+        (None, "9 FIRST ST", "BIG CO", "OCALA", "FL", "34470", ""),
+    ]
+    assert one(spark, f, ("Tampa, FL 33601",))[0].note == "no lines above city/state/zip"
+
+
+def test_pick_customer_line(spark):
+    f = lambda *c: L.pick_customer_line(F.split(c[0], "/"), "Own Farms")
+    got = one(spark, f, ("x/SHIP TO/12 Oak St/Sysco Foods/Acme",), ("Warehouse Madison/555-123-4567/12 Oak St/Vistar Retail",), ("Alpha Meats/12 Oak St/Own Big Farms",), ("SHIP FROM/12 Oak St",), ("Own Farms/Late Name",))
+    assert got == ["Sysco Foods", "Vistar Retail", "Alpha Meats", None, None]
+    rows = spark.createDataFrame([("i", "| __SHIP TO\n Sysco Foods | junk\n"), ("j", None)], "invoice_id string, text string")
+    assert {r.invoice_id: r.customer for r in L.customer_lines(rows, "Own Farms").collect()} == {"i": "Sysco Foods", "j": None}
+
+
+def test_goldens_and_boxes(spark):
+    made = spark.createDataFrame([("a", "1"), ("b", "2")], "stem string, json string")
+    gold = spark.createDataFrame([("a", "1"), ("b", "3"), ("c", "4")], "stem string, json string")
+    assert sorted(r.stem for r in L.compare_goldens(made, gold).collect()) == ["b", "c"]
+    assert tuple(L.block_box(lines(spark, ("a", 5, 9), ("b", 2, 7))).first()) == ("i", 2, 9, 0, 100)
+
+
 # --- sources and stream ------------------------------------------------------------------
 def test_scan(spark, tmp_path):
     for n in ("b.pdf", "a.pdf", "c.PDF", "d.txt"):

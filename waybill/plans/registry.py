@@ -11,6 +11,7 @@ from ..functions import address as A
 from ..functions import fuzzy as Z
 from ..functions import text as X
 from ..operators import bills as B
+from ..operators import lines as L
 from ..operators import master as M
 from ..operators import match as R
 from ..operators import ocr as O
@@ -423,7 +424,7 @@ def _(spark, d):
 # --- whole run, one vendor ------------------------------------------------------------
 def _outcome(spark, d, v="a"):
     spec = VENDORS[v]
-    parsed, match = _parsed(spark, d, v), _match(spark, d)
+    parsed, match = settled(_parsed(spark, d, v)), settled(_match(spark, d))
     billable = parsed.filter(~F.col("parse_error")).withColumn("_m", P.first_missing(spec.required)).filter("_m is null").join(match.filter("success").select("invoice_id", "customer_name"), "invoice_id")
     made = B.make_bills(billable, spec.bill_name, spec.categories)
     return parsed, match, made, B.outcomes(parsed, match, made, P.first_missing(spec.required))
@@ -594,3 +595,57 @@ def _(spark, d):
 @query("bottom_anchor")
 def _(spark, d):
     return O.bottom_anchor(view(spark, d, "ocr_lines").withColumn("text", F.when(F.col("line_idx") % 100 == 5, "Thirb Party Freight Chargs biel to").otherwise(F.col("text"))))
+
+
+# --- simpler extraction paths -----------------------------------------------------------
+BLOCKS = "SELECT invoice_id, string_agg(text, chr(10) ORDER BY line_idx) AS text FROM ocr_lines GROUP BY invoice_id"
+
+
+def _block_texts(spark, d):
+    order = F.array_sort(F.collect_list(F.struct("line_idx", "text")))
+    return view(spark, d, "ocr_lines").groupBy("invoice_id").agg(F.array_join(F.transform(order, lambda x: x.text), "\n").alias("text"))
+
+
+CITY_LINE = X.CSZ_STATE_LIST.replace("'", "''")
+
+
+@query("parse_address", with_views("ocr_lines", blocks=BLOCKS) + f" SELECT invoice_id, CASE WHEN regexp_matches(text, '{CITY_LINE}') THEN upper(trim(regexp_extract(l, '{CITY_LINE}', 1))) END AS city, CASE WHEN regexp_matches(text, '{CITY_LINE}') THEN regexp_extract(l, '{CITY_LINE}', 3) END AS postcode FROM (SELECT *, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '{CITY_LINE}'))[1] AS l FROM blocks)")
+def _(spark, d):
+    return _block_texts(spark, d).select("invoice_id", L.parse_address(F.col("text")).alias("a")).select("invoice_id", "a.city", "a.postcode")
+
+
+@query("parse_address_all_columns")
+def _(spark, d):
+    return _block_texts(spark, d).select("invoice_id", L.parse_address(F.col("text")).alias("a")).select("invoice_id", "a.*")
+
+
+@query("customer_line")
+def _(spark, d):
+    return L.customer_lines(_block_texts(spark, d), OWN_NAME)
+
+
+@query("block_box", with_views("ocr_lines") + " SELECT invoice_id, min(y_top) AS y_top, max(y_bot) AS y_bot, min(x_left) AS x_left, max(x_right) AS x_right FROM ocr_lines GROUP BY invoice_id")
+def _(spark, d):
+    return L.block_box(view(spark, d, "ocr_lines"))
+
+
+@query("extraction_json")
+def _(spark, d):
+    return L.extraction_json(_extractions(spark, d))
+
+
+@query("usable_extractions", base("extraction", **MATCH) + " SELECT source, keyed = 1 AS usable, count(*) AS n FROM ext GROUP BY ALL")
+def _(spark, d):
+    return _extractions(spark, d).withColumn("usable", F.col("address").isNotNull() & (F.col("address.street") != "")).groupBy("source", "usable").agg(F.count("*").alias("n"))
+
+
+@query("divider", with_views("ocr_words") + ' SELECT coalesce(a.invoice_id, b.invoice_id) AS invoice_id, coalesce(CAST(floor((x + y) / 2) AS INTEGER), y, x) AS divider_x FROM (SELECT invoice_id, max("left" + width) AS x FROM ocr_words WHERE line_num = 0 GROUP BY 1) a FULL JOIN (SELECT invoice_id, min("left") AS y FROM ocr_words WHERE line_num = 1 GROUP BY 1) b ON a.invoice_id = b.invoice_id')
+def _(spark, d):
+    w = view(spark, d, "ocr_words")
+    left = w.filter("line_num = 0").groupBy("invoice_id").agg(F.max(F.col("left") + F.col("width")).alias("x_right"))
+    return O.divider(left, w.filter("line_num = 1").groupBy("invoice_id").agg(F.min("left").alias("x_left")))
+
+
+@query("run_report")
+def _(spark, d):
+    return _outcome(spark, d)[3].groupBy("fail_step", "severity").agg(F.count("*").alias("n"))
