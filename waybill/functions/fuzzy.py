@@ -11,6 +11,8 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..shipping import ship
+
 # Scales and length bounds of the weighted ratio.
 PARTIAL_FROM, FAR_FROM = 1.5, 8.0
 TOKEN_SCALE, PARTIAL_SCALE, FAR_SCALE = 0.95, 0.9, 0.6
@@ -118,6 +120,8 @@ def weighted_ratio(a: str, b: str) -> float:
 
 
 def _udf(f):
+    ship()
+
     @F.pandas_udf("double")
     def score(a: pd.Series, b: pd.Series) -> pd.Series:
         seen: dict[tuple, float | None] = {}

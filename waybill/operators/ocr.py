@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.address import normalize_address, plain_address
 from ..functions.fuzzy import partial_ratio, partial_ratio_udf, ratio, ratio_udf, token_set_ratio
 from ..functions.text import CSZ, SHIP_FROM_VARIANT, SHIP_TO_VARIANT, clean_for_usps, clean_name, is_street, line_text, line_tokens, strip, text_score
+from ..shipping import ship
 
 
 @dataclass(frozen=True)
@@ -152,6 +153,7 @@ def csz_pick(lines: DataFrame) -> DataFrame:
 
 def _dealt(lines: DataFrame) -> DataFrame:
     """Lines by page over all shuffle partitions: grouped Python code costs time, not bytes, so partitions aren't merged by size."""
+    ship(lines.sparkSession)
     return lines.repartition(int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions")), "invoice_id")
 
 
@@ -298,6 +300,8 @@ def best_variant(variants: DataFrame) -> DataFrame:
 def _near(tokens: Column, target: str, threshold: int) -> Column:
     """Whether some token reads like the target: its ratio is at least the threshold."""
 
+    ship()
+
     @F.pandas_udf("boolean")
     def near(lists: pd.Series) -> pd.Series:
         known: dict[str, bool] = {}

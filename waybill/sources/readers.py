@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..shipping import ship
+
 MASTER_CELLS = T.StructType([T.StructField("row", T.IntegerType()), *[T.StructField(c, T.StringType()) for c in ("name", "al1", "al2", "city", "state", "postcode")], T.StructField("postcode_is_numeric", T.BooleanType())])
 PAGES = "invoice_id string, vendor string, text string, layout string"
 OCR_WORDS = "invoice_id string, pass string, psm int, block_num int, par_num int, line_num int, word_idx int, left int, top int, width int, height int, text string"
@@ -83,4 +85,5 @@ def decode_pages(files: DataFrame, vendor: str) -> DataFrame:
 
             yield pd.DataFrame(out, columns=["invoice_id", "vendor", "text", "layout"])
 
+    ship(files.sparkSession)
     return files.select("invoice_id", "content").mapInPandas(run, PAGES)
