@@ -33,6 +33,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def small_batches(spark: SparkSession, rows: int = 1024) -> None:
+    """Hold Arrow batches of texts to so many rows, which bounds what a Python worker has at once."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, rows)
+
+
 def few(df: DataFrame, limit: int) -> bool:
     """Whether a (checkpointed) frame has at most ``limit`` rows."""
     return df.limit(limit + 1).count() <= limit
@@ -42,7 +49,7 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def text_chunks(docs: DataFrame, text_col: str, chunk_mb: int = 6) -> int:
+def text_chunks(docs: DataFrame, text_col: str, chunk_mb: int = 4) -> int:
     """How many chunks of about ``chunk_mb`` MB the texts make, at least two for each shuffle partition."""
     size = docs.agg(F.sum(F.octet_length(text_col).cast("long"))).first()[0] or 0
     return max(2 * partitions(docs.sparkSession), math.ceil(size / (chunk_mb << 20)))

@@ -29,22 +29,23 @@ import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import partitions, text_chunks, text_or_empty
+from ._common import partitions, small_batches, text_chunks, text_or_empty
 
 U8 = np.dtype("<u8")
 K1, K2, K3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 POS_BITS = np.uint64(24)
 POS_MASK = np.uint64((1 << 24) - 1)
 #: Windows in one slice; positions in a slice fit POS_BITS.
-SLICE = 1 << 18
+SLICE = 1 << 16
 #: A minimiser in at least so many documents is dealt by its context as well. Results don't depend on it.
 HOT = 1000
 
 
 def mix(x: np.ndarray) -> np.ndarray:
     x = x ^ (x >> np.uint64(32))
-    x = x * K1
-    return x ^ (x >> np.uint64(29))
+    x *= K1
+    x ^= x >> np.uint64(29)
+    return x
 
 
 @lru_cache(maxsize=2)
@@ -160,21 +161,29 @@ class Units:
         for s in range(0, max(0, total), SLICE):
             e = min(s + SLICE, total)
             h = self.gram_hashes(s, e + width - gram)
-            key = ((mix(h) >> POS_BITS) << POS_BITS) | np.arange(len(h), dtype=np.uint64)
+            key = mix(h)
+            key &= ~POS_MASK
+            key |= np.arange(len(h), dtype=np.uint64)
             step = 1
             while step * 2 <= grams:
                 key = np.minimum(key[:-step], key[step:])
                 step *= 2
             if step < grams:
                 key = np.minimum(key[: len(key) - (grams - step)], key[grams - step :])
-            doc = np.searchsorted(self.first, np.arange(s, e), side="right") - 1
-            inside = np.arange(s + width, e + width) <= self.first[doc + 1]
-            new = np.ones(e - s, dtype=bool)
-            new[1:] = (key[1:] != key[:-1]) | (doc[1:] != doc[:-1]) | (inside[1:] != inside[:-1])
+            # Runs end where the minimiser changes, where a document begins, and where windows begin to reach beyond their document.
+            new = np.empty(e - s, dtype=bool)
+            new[0] = True
+            np.not_equal(key[1:], key[:-1], out=new[1:])
+            lo, hi = np.searchsorted(self.first, [s, e], side="right")
+            edges = self.first[max(0, lo - 1) : hi + 1]
+            for edge in (edges, edges - width + 1):
+                new[edge[(edge > s) & (edge < e)] - s] = True
             at = np.flatnonzero(new)
             size = np.diff(np.append(at, e - s))
-            at, size = at[inside[at]], size[inside[at]]
-            yield key[at] >> POS_BITS, s + (key[at] & POS_MASK).astype(np.int64), s + at, size, doc[at]
+            doc = np.searchsorted(self.first, s + at, side="right") - 1
+            inside = s + at + width <= self.first[doc + 1]
+            at, size, doc = at[inside], size[inside], doc[inside]
+            yield key[at] >> POS_BITS, s + (key[at] & POS_MASK).astype(np.int64), s + at, size, doc
 
 
 class Bytes(Units):
@@ -421,18 +430,20 @@ def _spans(plan: Plan, classes, piece: int = 1 << 20):
         low = least[number]
         if seen or more:
             pre = Prefix(w.buf)
-            code = np.stack([mix(pre.of(w.start, w.end)), pre.of(w.start, (w.start + w.end) // 2) ^ (w.end - w.start).astype(np.uint64)], axis=1)
-            inside = np.flatnonzero(w.key == seen.get("key", 0)) if seen else []
-            for i in inside:
-                old = seen["ids"].get(tuple(code[i].tolist()))
-                if old is not None and old < low[i]:
-                    low[i] = old
             last = numbers(table.column("key"))[-1]
-            kept = seen["ids"] if seen and seen["key"] == last else {}
-            if more:
-                for i in np.flatnonzero(w.key == last):
-                    kept.setdefault(tuple(code[i].tolist()), int(low[i]))
-            seen = {"key": last, "ids": kept} if more else {}
+            one, two = mix(pre.of(w.start, w.end)), pre.of(w.start, (w.start + w.end) // 2) ^ (w.end - w.start).astype(np.uint64)
+            inside = np.flatnonzero(w.key == seen["key"]) if seen else np.zeros(0, np.int64)
+            if len(inside):
+                at = np.minimum(np.searchsorted(seen["one"], one[inside]), len(seen["one"]) - 1)
+                hit = (seen["one"][at] == one[inside]) & (seen["two"][at] == two[inside])
+                low[inside[hit]] = np.minimum(low[inside[hit]], seen["ids"][at[hit]])
+            own = np.flatnonzero(w.key == last)
+            past = seen if seen and seen["key"] == last else {"one": one[:0], "two": two[:0], "ids": low[:0]}
+            x, y, i = np.concatenate([past["one"], one[own]]), np.concatenate([past["two"], two[own]]), np.concatenate([past["ids"], low[own]])
+            by = np.lexsort((i, y, x))
+            x, y, i = x[by], y[by], i[by]
+            first = np.append(True, (x[1:] != x[:-1]) | (y[1:] != y[:-1]))
+            seen = {"key": last, "one": x[first], "two": y[first], "ids": i[first]} if more else {}
         gone = ids > low
         edge = np.ones(len(gone) + 1, dtype=bool)
         edge[1:-1] = (gone[1:] != gone[:-1]) | (w.row[1:] != w.row[:-1])
@@ -478,7 +489,7 @@ def _cut(plan: Plan):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         units, rid, ids, left = _take(left, right, plan, copies_too=True)
         first, total = units.first, int(units.first[-1])
-        delta = np.zeros(total + 1, dtype=np.int64)
+        delta = np.zeros(total + 1, dtype=np.int32)
         if right.num_rows and left.num_rows:
             order = np.argsort(rid, kind="stable")
             target, s, e = numbers(right.column("rid")), numbers(right.column("s")).astype(np.int64), numbers(right.column("e")).astype(np.int64)
@@ -489,12 +500,12 @@ def _cut(plan: Plan):
             whole = e - s >= plan.window  # a copy's span is the whole text; one shorter than a window stays
             np.add.at(delta, s[whole], 1)
             np.add.at(delta, e[whole], -1)
-        gone = np.cumsum(delta[:-1]) > 0
+        gone = np.cumsum(delta[:-1], dtype=np.int32) > 0
         begins = gone.copy()
         begins[1:] &= ~gone[:-1]
         starts = first[:-1][np.diff(first) > 0]
         begins[starts] = gone[starts]
-        count = lambda x: np.diff(np.concatenate([[0], np.cumsum(x)])[first])
+        count = lambda x: np.diff(np.concatenate([[0], np.cumsum(x, dtype=np.int32)])[first])
         if plan.kind == "bytes":
             keep = ~gone
             ends = np.concatenate([[0], np.cumsum(keep)])[first]
@@ -511,9 +522,10 @@ def _cut(plan: Plan):
     return run
 
 
-def remove_repeats(docs: DataFrame, plan: Plan, classes, id_col: str, text_col: str, chunk_mb: int = 6) -> DataFrame:
+def remove_repeats(docs: DataFrame, plan: Plan, classes, id_col: str, text_col: str, chunk_mb: int = 4) -> DataFrame:
     """id, n_units, n_removed, n_spans, kept (binary) of every row of docs."""
     spark = docs.sparkSession
+    small_batches(spark)
     text = text_or_empty(text_col)
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(0).cast("long")).alias("id"), F.col(id_col).isNotNull().alias("has_id"), text.alias("text"), F.xxhash64(F.col(id_col), text).alias("rid"))
     chunks = text_chunks(rows, "text", chunk_mb)
