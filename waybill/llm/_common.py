@@ -8,6 +8,8 @@ import tempfile
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..shipping import ship
+
 #: Words are maximal runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -33,8 +35,9 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def small_batches(spark: SparkSession, rows: int = 1024) -> None:
-    """Hold Arrow batches of texts to so many rows, which bounds what a Python worker has at once."""
+def python_ready(spark: SparkSession, rows: int = 1024) -> None:
+    """Before Python workers run: hold Arrow batches to so many rows, which bounds what a worker has at once, and hand them the package."""
+    ship(spark)
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(name)) <= rows:
         spark.conf.set(name, rows)

@@ -29,7 +29,7 @@ import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import partitions, small_batches, text_chunks, text_or_empty
+from ._common import partitions, python_ready, text_chunks, text_or_empty
 
 U8 = np.dtype("<u8")
 K1, K2, K3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
@@ -525,7 +525,7 @@ def _cut(plan: Plan):
 def remove_repeats(docs: DataFrame, plan: Plan, classes, id_col: str, text_col: str, chunk_mb: int = 4) -> DataFrame:
     """id, n_units, n_removed, n_spans, kept (binary) of every row of docs."""
     spark = docs.sparkSession
-    small_batches(spark)
+    python_ready(spark)
     text = text_or_empty(text_col)
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(0).cast("long")).alias("id"), F.col(id_col).isNotNull().alias("has_id"), text.alias("text"), F.xxhash64(F.col(id_col), text).alias("rid"))
     chunks = text_chunks(rows, "text", chunk_mb)

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._common import small_batches, table, without
+from ._common import python_ready, table, without
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?>[^>"']|"[^"]*"|'[^']*')*+)>|<(?P<end2>/?)(?P<tag2>[a-zA-Z][^\s/>]*)(?P<attrs2>[^>]*)(?:>|\Z)""", re.S)
 ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden|style|itemprop)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
@@ -246,7 +246,7 @@ def extract_main_text(pages: DataFrame, html_col: str = "html", text_col: str =
     Repeated rows each get their text; an input column named ``text_col`` is
     replaced. White space, no-break spaces included, turns into single spaces.
     """
-    small_batches(pages.sparkSession)
+    python_ready(pages.sparkSession)
     keep = without(pages.drop(html_col), text_col)
     rows = pages.select(*[F.col(f"`{c}`") for c in keep.columns], F.col(html_col).cast("string").alias(HTML))
     schema = T.StructType([*keep.schema.fields, T.StructField(text_col, T.StringType())])

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import cut, few, small_batches, table, text_or_empty, without
+from ._common import cut, few, python_ready, table, text_or_empty, without
 from ._repeats import bytes_of, loads, mix, padded
 
 UND = "und"
@@ -59,7 +59,7 @@ def fit(docs: DataFrame, label_col: str = "lang", text_col: str = "text", id_col
     their grams are counted on the executors, and at most 4 x languages vectors
     of fixed size come to the driver.
     """
-    small_batches(docs.sparkSession)
+    python_ready(docs.sparkSession)
     key = F.xxhash64(F.lit("lang-id"), F.col(id_col), F.xxhash64(text_col))
     rows = docs.select(F.lower(F.trim(F.col(label_col).cast("string"))).alias("label"), key.alias("key"), F.col(text_col).cast("string").alias("text")).filter("label <> '' and text is not null")
     last = rows.select("key").orderBy("key").limit(sample).agg(F.max("key")).first()[0]
@@ -138,7 +138,7 @@ def identify_languages(docs: DataFrame, model: tuple[list[str], np.ndarray], id_
     names = [*languages, UND]
     n = len(names)
     spark = docs.sparkSession
-    small_batches(spark)
+    python_ready(spark)
     text = text_or_empty(text_col)
     declared = F.lower(F.substring_index(F.substring_index(F.trim(F.col(declared_col).cast("string")), "-", 1), "_", 1)) if declared_col else F.lit(None).cast("string")
     host = _host(F.col(address_col).cast("string")) if address_col else F.lit(None).cast("string")

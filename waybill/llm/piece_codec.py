@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import small_batches, table, text_or_empty
+from ._common import python_ready, table, text_or_empty
 from ._repeats import K1, K2, K3, bytes_of, mix, slices
 
 SPACE = "▁"
@@ -299,7 +299,7 @@ def encode_pieces(docs: DataFrame, model_path: str | None = None, alpha: float =
     an empty result. The model's file is broadcast (bounded: some MB).
     """
     spark = docs.sparkSession
-    small_batches(spark)
+    python_ready(spark)
     proto = spark.sparkContext.broadcast(model_bytes(spark, model_path or default_model()))
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(id_col)).alias("key"), text_or_empty(text_col).alias("text"))
     kind = dict(rows.dtypes)["id"]
@@ -309,7 +309,7 @@ def encode_pieces(docs: DataFrame, model_path: str | None = None, alpha: float =
 def decode_pieces(encoded: DataFrame, model_path: str | None = None, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """id, text of encoded rows. Null ids give a null text; bytes that aren't UTF-8 (ids not from a text) become U+FFFD."""
     spark = encoded.sparkSession
-    small_batches(spark)
+    python_ready(spark)
     proto = spark.sparkContext.broadcast(model_bytes(spark, model_path or default_model()))
     rows = encoded.select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids"))
     kind = dict(rows.dtypes)["id"]

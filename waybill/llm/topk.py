@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._common import cut, partitions, table
+from ._common import cut, partitions, python_ready, table
 from ._repeats import numbers
 
 #: Vectors in the sample that the rotation is fitted on, and longest vectors for the first thresholds. Neither affects results.
@@ -163,6 +163,7 @@ def exact_topk(vectors: DataFrame, k: int = 5, query_every: int = 50, id_col: st
     result. Queries are broadcast in blocks of about ``query_block`` at most.
     """
     spark = vectors.sparkSession
+    python_ready(spark)
     rows = cut(integer_vectors(vectors, id_col, vector_col, scale))
     dims = rows.agg(F.max(F.size("v"))).first()[0] or 0
     queries = rows.filter(F.pmod("id", F.lit(query_every)) == 0)
