@@ -45,4 +45,15 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op2_substring_dedup": op2_substring_dedup}
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op2_substring_dedup": r"""
+        WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        s AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS h FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d)),
+        m AS (SELECT h, min(doc_id) AS low FROM s GROUP BY h),
+        f AS (SELECT s.doc_id, s.i FROM s JOIN m ON s.h = m.h WHERE s.doc_id > m.low),
+        p AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM d),
+        c AS (SELECT p.doc_id, p.i, word, max(CASE WHEN f.i IS NULL THEN 0 ELSE 1 END) OVER (PARTITION BY p.doc_id ORDER BY p.i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone
+              FROM p LEFT JOIN f ON f.doc_id = p.doc_id AND f.i = p.i),
+        g AS (SELECT doc_id, count(*) AS n, sum(gone) AS r, string_agg(word, ' ' ORDER BY i) FILTER (gone = 0) AS kept FROM c GROUP BY doc_id)
+        SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_words, coalesce(r, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN g ON d.doc_id = g.doc_id"""
+}

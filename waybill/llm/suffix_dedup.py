@@ -117,4 +117,17 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op4_suffix_dedup": op4_suffix_dedup}
-ORACLES: dict[str, str] = {}
+#: Bytes as pairs of hex digits.
+ORACLES = {
+    "op4_suffix_dedup": """
+        WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+        s AS (SELECT doc_id, i, substr(x, 2 * i - 1, 100) AS h FROM (SELECT doc_id, x, unnest(range(1, length(x) // 2 - 48)) AS i FROM d)),
+        m AS (SELECT h, min(doc_id) AS low FROM s GROUP BY h),
+        f AS (SELECT s.doc_id, s.i FROM s JOIN m ON s.h = m.h WHERE s.doc_id > m.low),
+        p AS (SELECT doc_id, i, substr(x, 2 * i - 1, 2) AS b FROM (SELECT doc_id, x, unnest(range(1, length(x) // 2 + 1)) AS i FROM d)),
+        c AS (SELECT p.doc_id, p.i, b, max(CASE WHEN f.i IS NULL THEN 0 ELSE 1 END) OVER (PARTITION BY p.doc_id ORDER BY p.i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone
+              FROM p LEFT JOIN f ON f.doc_id = p.doc_id AND f.i = p.i),
+        e AS (SELECT *, CASE WHEN gone = 1 AND coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY i), 0) = 0 THEN 1 ELSE 0 END AS begins FROM c),
+        g AS (SELECT doc_id, count(*) AS n, sum(gone) AS r, sum(begins) AS spans, string_agg(b, '' ORDER BY i) FILTER (gone = 0) AS kept FROM e GROUP BY doc_id)
+        SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_bytes, coalesce(r, 0)::BIGINT AS n_removed, coalesce(spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256 FROM d LEFT JOIN g ON d.doc_id = g.doc_id"""
+}
