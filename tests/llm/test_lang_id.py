@@ -19,7 +19,7 @@ def train(spark):
 
 
 def run(spark, rows, **options):
-    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, language int")
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, _id int")
     out = identify_languages(docs, train(spark), **options)
     return {r.doc_id: r for r in out.collect()}, out, docs
 

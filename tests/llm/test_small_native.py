@@ -17,14 +17,14 @@ def key(rows):
 
 # --- exact dedup --------------------------------------------------------------------
 ROWS = [(1, "a", "x", 0), (2, "a", None, 0), (3, "b", "x", 0), (4, None, "x", 0), (5, "", "y", 0), (6, "c" * 300 + "1", "x", 0), (7, "c" * 300 + "2", "x", 0), (8, "c" * 300 + "1", "x", 0), (8, "c" * 300 + "1", "x", 0), (8, "c" * 300 + "1", "z", 0), (None, "b", "x", 0), (None, "d", "x", 0), (None, "d", "x", 0), (9, "é" * 50_000, "x", 0), (10, "é" * 50_000, "x", 0), (11, "a ", "x", 0)]
-SCHEMA = "doc_id long, text string, keep_id string, _id int"
+SCHEMA = "doc_id long, text string, keep_id string, _ int"
 
 
 @pytest.mark.parametrize("limit", [1_000_000, 0])
 def test_exact_dedup(spark, limit):
     """Both ways to find level-2 keys again: broadcast, and a shuffle."""
     out = exact_dedup(spark.createDataFrame(ROWS, SCHEMA), max_broadcast=limit)
-    assert out.columns == ["doc_id", "text", "_id", "keep_id", "group_size", "kept"]
+    assert out.columns == ["doc_id", "text", "_", "keep_id", "group_size", "kept"]
     groups = defaultdict(list)
     for i, t, *_ in ROWS:
         groups[t or ""].append(i)
@@ -86,6 +86,8 @@ def test_mix(spark):
     assert {s: (taken[s], round(want[s]), total[s]) for s in want if abs(taken[s] - want[s]) > max(size(t) for _, t, x, _ in DOCS if x == s) / 2} == {}
     again = mix_sources(docs.repartition(7)).collect()
     assert key(tuple(r) for r in out) == key(tuple(r) for r in again)
+    odd = docs.withColumnRenamed("size", "_h")
+    assert mixed_documents(odd).columns == odd.columns and {r._h for r in mixed_documents(odd).collect()} <= {r[3] for r in DOCS}
     texts = Counter((r.doc_id, r.text) for r in mixed_documents(docs).collect())
     assert sum(size(t) * n for (_, t), n in texts.items()) == sum(r.taken for r in out)
     assert mixed_documents(docs).columns == docs.columns
@@ -117,9 +119,10 @@ def plain_lines(rows, ratio, least):
 def test_line_dedup(spark, limit):
     rows = [(k, f"menu\n own {k} \nshared {k % 7}\n\n  menu\t\nmenu", ["h", "g", None][k % 3]) for k in range(60)]
     rows += [(100, None, "h"), (101, "", "h"), (102, "\n\n", "h"), (103, "menu", "alone"), (None, "menu\nx", "h"), (3, rows[3][1], rows[3][2]), (104, "long " * 50_000 + "\nmenu", "g")]
-    docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, source string, N_LINES int")
+    docs = spark.createDataFrame([(*r, 1, "k") for r in rows], "doc_id long, text string, source string, N_LINES int, _lines string")
     out = line_dedup(docs, max_ratio=0.2, min_pages=3, max_broadcast=limit)
-    assert out.columns == ["doc_id", "text", "source", "n_lines", "n_removed"]
+    assert out.columns == ["doc_id", "text", "source", "_lines", "n_lines", "n_removed"]
+    assert {r._lines for r in out.collect()} == {"k"}
     assert key((r.doc_id, r.text, r.n_lines, r.n_removed) for r in out.collect()) == key(plain_lines(rows, 0.2, 3))
     assert line_dedup(docs.limit(0)).collect() == []
     assert hashlib.md5(b"").hexdigest() == "d41d8cd98f00b204e9800998ecf8427e"

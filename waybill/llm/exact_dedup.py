@@ -35,7 +35,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     keyed = docs.select(
         F.col(id_col).alias("_id"),
         text_or_empty(text_col).alias("_text"),
-        F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in carry]).alias("_row"),
+        F.struct(F.lit(0).alias("__wb_none"), *[F.col(f"`{c}`") for c in carry]).alias("_row"),
         (F.xxhash64(*[F.col(f"`{c}`") for c in extra]) if extra else F.lit(0)).alias("_order"),
     ).withColumns({"_len": F.octet_length("_text"), "_pre": F.xxhash64(F.substring("_text", 1, prefix_chars))})
     lengths = keyed.groupBy("_len").count().filter("count > 1").select("_len")

@@ -45,7 +45,7 @@ NOISE = set("ad ads adv advert adverts advertisement advertising adsense banner
 NOISE_OUTER = {"header"}
 COMMENTS = {"comments", "comment", "commentlist", "disqus", "replies"}
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
-HTML = "_html_source"
+HTML = "__wb_html"
 SPLIT = re.compile(r"[^a-z0-9]+")
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 

@@ -172,9 +172,9 @@ def identify_languages(docs: DataFrame, model: tuple[list[str], np.ndarray], id_
 
 def keep_identified(docs: DataFrame, decisions: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_broadcast: int = MAX_BROADCAST) -> DataFrame:
     """``docs`` without the rows that were rejected. The rejected ids are broadcast only if they are at most ``max_broadcast``."""
-    gone = cut(decisions.filter("not kept").select(F.col(id_col).alias("_id"), F.col("text_hash").alias("_hash")).distinct())
+    gone = cut(decisions.filter("not kept").select(F.col(id_col).alias("__wb_id"), F.col("text_hash").alias("__wb_hash")).distinct())
     gone = F.broadcast(gone) if few(gone, max_broadcast) else gone
-    return docs.join(gone, F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(text_or_empty(text_col)) == F.col("_hash")), "left_anti")
+    return docs.join(gone, F.col(id_col).eqNullSafe(F.col("__wb_id")) & (F.xxhash64(text_or_empty(text_col)) == F.col("__wb_hash")), "left_anti")
 
 
 def op1_lang_id(spark: SparkSession, sf_dir: str) -> DataFrame:

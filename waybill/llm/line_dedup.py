@@ -54,20 +54,20 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     found = cut(boilerplate_lines(docs, text_col, host_col, max_ratio, min_pages).select("host", "line_key"))
     lines = F.split(F.col(text_col).cast("string"), "\n")
     if few(found, max_broadcast):
-        drop = found.groupBy(F.col("host").alias("_host")).agg(F.collect_set("line_key").alias("_drop"))
-        rows = docs.join(F.broadcast(drop), F.col(host_col).cast("string").eqNullSafe(F.col("_host")), "left").withColumn("_lines", lines)
-        kept = F.when(F.col("_drop").isNull(), F.col("_lines")).otherwise(F.filter("_lines", lambda x: ~F.array_contains(F.col("_drop"), _key(x))))
+        drop = found.groupBy(F.col("host").alias("__wb_host")).agg(F.collect_set("line_key").alias("__wb_drop"))
+        rows = docs.join(F.broadcast(drop), F.col(host_col).cast("string").eqNullSafe(F.col("__wb_host")), "left").withColumn("__wb_lines", lines)
+        kept = F.when(F.col("__wb_drop").isNull(), F.col("__wb_lines")).otherwise(F.filter("__wb_lines", lambda x: ~F.array_contains(F.col("__wb_drop"), _key(x))))
     else:
         ids = F.xxhash64(F.col(id_col), F.col(text_col))
-        at = docs.select(F.col(id_col).alias("_id"), ids.alias("_row"), F.col(host_col).cast("string").alias("_host"), F.posexplode(F.transform(lines, _key)).alias("_pos", "_key"))
-        at = at.join(found, F.col("_host").eqNullSafe(F.col("host")) & (F.col("_key") == F.col("line_key")), "left_semi").groupBy("_id", "_row", "_host").agg(F.collect_set("_pos").alias("_drop"))
-        rows = docs.withColumns({"_r": ids, "_lines": lines}).join(at, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_r") == F.col("_row")) & F.col(host_col).cast("string").eqNullSafe(F.col("_host")), "left")
-        kept = F.when(F.col("_drop").isNull(), F.col("_lines")).otherwise(F.filter("_lines", lambda x, i: ~F.array_contains(F.col("_drop"), i)))
-    rows = rows.withColumn("_kept", kept)
+        at = docs.select(F.col(id_col).alias("__wb_id"), ids.alias("__wb_row"), F.col(host_col).cast("string").alias("__wb_host"), F.posexplode(F.transform(lines, _key)).alias("__wb_pos", "__wb_key"))
+        at = at.join(found, F.col("__wb_host").eqNullSafe(F.col("host")) & (F.col("__wb_key") == F.col("line_key")), "left_semi").groupBy("__wb_id", "__wb_row", "__wb_host").agg(F.collect_set("__wb_pos").alias("__wb_drop"))
+        rows = docs.withColumns({"__wb_r": ids, "__wb_lines": lines}).join(at, F.col(id_col).eqNullSafe(F.col("__wb_id")) & (F.col("__wb_r") == F.col("__wb_row")) & F.col(host_col).cast("string").eqNullSafe(F.col("__wb_host")), "left")
+        kept = F.when(F.col("__wb_drop").isNull(), F.col("__wb_lines")).otherwise(F.filter("__wb_lines", lambda x, i: ~F.array_contains(F.col("__wb_drop"), i)))
+    rows = rows.withColumn("__wb_kept", kept)
     size = lambda c: F.coalesce(F.size(F.when(F.col(c).isNotNull(), F.col(c))).cast("long"), F.lit(0).cast("long"))
-    counts = {"n_lines": F.when(F.col("_lines").isNull(), F.lit(0).cast("long")).otherwise(size("_lines")), "n_removed": F.when(F.col("_lines").isNull(), F.lit(0).cast("long")).otherwise(size("_lines") - size("_kept"))}
-    out = rows.withColumns(counts).withColumn("_new", F.array_join("_kept", "\n"))
-    return out.select(*[F.col("_new").alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns], "n_lines", "n_removed")
+    counts = {"n_lines": F.when(F.col("__wb_lines").isNull(), F.lit(0).cast("long")).otherwise(size("__wb_lines")), "n_removed": F.when(F.col("__wb_lines").isNull(), F.lit(0).cast("long")).otherwise(size("__wb_lines") - size("__wb_kept"))}
+    out = rows.withColumns(counts).withColumn("__wb_new", F.array_join("__wb_kept", "\n"))
+    return out.select(*[F.col("__wb_new").alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns], "n_lines", "n_removed")
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -104,13 +104,13 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     mix = mix_sources(docs, id_col, text_col, source_col, **options)
     # Equal rows (id, text, source) may be taken differently; together they make one entry that is dealt over them by rank.
-    counted = mix.groupBy(F.col(id_col).alias("_m_id"), F.col("text_hash").alias("_m_hash"), F.col("source").alias("_m_source")).agg(F.max("copies").alias("_m_copies"), F.max(F.when(F.col("copies") > 0, F.lit(1))).alias("_any"), F.sum("copies").alias("_m_all"), F.count("*").alias("_m_rows"))
-    held = docs.withColumns({"_h": F.xxhash64(text_or_empty(text_col)), "_s0": F.col(source_col).cast("string")})
-    joined = held.join(counted, F.col(id_col).eqNullSafe(F.col("_m_id")) & (F.col("_h") == F.col("_m_hash")) & F.col("_s0").eqNullSafe(F.col("_m_source")))
-    one = joined.filter("_m_rows = 1").withColumn("_times", F.col("_m_all"))
-    order = Window.partitionBy("_m_id", "_m_hash", "_m_source").orderBy(F.lit(0))
-    more = joined.filter("_m_rows > 1").withColumn("_k", F.row_number().over(order) - 1).withColumn("_times", F.floor(F.col("_m_all") / F.col("_m_rows")) + (F.col("_k") < F.col("_m_all") % F.col("_m_rows")).cast("long")).drop("_k")
-    out = one.unionByName(more).filter("_times > 0").withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times"))))
+    counted = mix.groupBy(F.col(id_col).alias("__wb_m_id"), F.col("text_hash").alias("__wb_m_hash"), F.col("source").alias("__wb_m_source")).agg(F.max("copies").alias("__wb_m_copies"), F.max(F.when(F.col("copies") > 0, F.lit(1))).alias("__wb_any"), F.sum("copies").alias("__wb_m_all"), F.count("*").alias("__wb_m_rows"))
+    held = docs.withColumns({"__wb_h": F.xxhash64(text_or_empty(text_col)), "__wb_s0": F.col(source_col).cast("string")})
+    joined = held.join(counted, F.col(id_col).eqNullSafe(F.col("__wb_m_id")) & (F.col("__wb_h") == F.col("__wb_m_hash")) & F.col("__wb_s0").eqNullSafe(F.col("__wb_m_source")))
+    one = joined.filter("__wb_m_rows = 1").withColumn("__wb_times", F.col("__wb_m_all"))
+    order = Window.partitionBy("__wb_m_id", "__wb_m_hash", "__wb_m_source").orderBy(F.lit(0))
+    more = joined.filter("__wb_m_rows > 1").withColumn("__wb_k", F.row_number().over(order) - 1).withColumn("__wb_times", F.floor(F.col("__wb_m_all") / F.col("__wb_m_rows")) + (F.col("__wb_k") < F.col("__wb_m_all") % F.col("__wb_m_rows")).cast("long")).drop("__wb_k")
+    out = one.unionByName(more).filter("__wb_times > 0").withColumn("__wb_i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__wb_times"))))
     return out.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
