@@ -274,12 +274,26 @@ def _(spark, d):
     return _pairs(spark, d).withColumn("score", F.round(Z.token_set_ratio_udf(F.col("a"), F.col("b")), 6))
 
 
-@query("fuzzy_partial")
+def s_windows(s: str, t: str) -> str:
+    """Best ratio of s against the windows of its length in t, prefixes and suffixes included."""
+    windows = f"list_transform(range(1 - length({s}), length({t})), lambda k: substr({t}, greatest(k, 0) + 1, least(length({t}), k + length({s})) - greatest(k, 0)))"
+    return f"list_max(list_transform({windows}, lambda w: {s_ratio(s, 'w')}))"
+
+
+def s_partial(a: str, b: str) -> str:
+    return f"CASE WHEN {a} = '' OR {b} = '' THEN CASE WHEN {a} = {b} THEN 100.0 ELSE 0.0 END WHEN length({a}) = length({b}) THEN greatest({s_windows(a, b)}, {s_windows(b, a)}) WHEN length({a}) < length({b}) THEN {s_windows(a, b)} ELSE {s_windows(b, a)} END"
+
+
+PARTIAL_TOKEN = f"CASE WHEN core <> '' THEN 100.0 WHEN da = sa AND db = sb THEN {s_partial('sa', 'sb')} ELSE greatest({s_partial('sa', 'sb')}, {s_partial('da', 'db')}) END"
+FAR = f"greatest({s_ratio('a', 'b')}, sc * ({s_partial('a', 'b')}), 0.95 * sc * ({PARTIAL_TOKEN}))"
+
+
+@query("fuzzy_partial", f"SELECT a, b, round({s_partial('a', 'b')}, 6) AS score FROM ({PAIRS})")
 def _(spark, d):
     return _pairs(spark, d).withColumn("score", F.round(Z.partial_ratio_udf(F.col("a"), F.col("b")), 6))
 
 
-@query("fuzzy_wratio")
+@query("fuzzy_wratio", f"WITH prs AS ({PAIRS}), sets1 AS ({SETS}), sets2 AS ({SETS2}), lens AS (SELECT *, greatest(length(a), length(b)) / least(length(a), length(b)) AS r FROM sets2) SELECT a, b, round(CASE WHEN r < 1.5 THEN {WRATIO} ELSE {FAR} END, 6) AS score FROM (SELECT *, CASE WHEN r <= 8 THEN 0.9 ELSE 0.6 END AS sc FROM lens)")
 def _(spark, d):
     return _pairs(spark, d).withColumn("score", F.round(Z.weighted_ratio_udf(F.col("a"), F.col("b")), 6))
 
