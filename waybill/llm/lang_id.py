@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import cut, few, python_ready, table, text_or_empty, without
+from ._common import cut, few, python_ready, table, text_or_empty
 from ._repeats import bytes_of, loads, mix, padded
 
 UND = "und"

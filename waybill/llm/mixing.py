@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._common import WORD, cut, table, text_or_empty, without
+from ._common import WORD, cut, table, text_or_empty
 
 #: Steps of the hashed rank in which words are summed before rows are ordered.
 STEPS = 1024

@@ -23,11 +23,12 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._common import python_ready, table, text_or_empty
-from ._repeats import K1, K2, K3, bytes_of, mix, slices
+from ._repeats import K1, K2, K3, mix
 
 SPACE = "▁"
 #: Rank of a pair that can't merge.
