@@ -84,7 +84,7 @@ def test_mix(spark):
         taken[r.source] += r.taken
         assert 0 <= r.taken <= 2 * r.size and r.source_size == total[r.source] and r.target == pytest.approx(want[r.source])
     assert {s: (taken[s], round(want[s]), total[s]) for s in want if abs(taken[s] - want[s]) > max(size(t) for _, t, x, _ in DOCS if x == s) / 2} == {}
-    again = mix_sources(docs.repartition(7)).collect()
+    again = mix_sources(docs.repartition(7), max_broadcast=0).collect()
     assert key(tuple(r) for r in out) == key(tuple(r) for r in again)
     odd = docs.withColumnRenamed("size", "_h")
     assert mixed_documents(odd).columns == odd.columns and {r._h for r in mixed_documents(odd).collect()} <= {r[3] for r in DOCS}

@@ -13,12 +13,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._common import WORD, cut, table, text_or_empty
+from ._common import WORD, cut, few, table, text_or_empty
 
 #: Steps of the hashed rank in which words are summed before rows are ordered.
 STEPS = 1024
 #: Filling rounds; what one round leaves, smaller documents fill in the next.
 ROUNDS = 3
+#: Sources whose targets are broadcast, at most (about 50 bytes each); more are joined by a shuffle.
+MAX_BROADCAST = 10_000
 
 
 def n_words(text: Column) -> Column:
@@ -47,7 +49,7 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share
     return level.select("source", "source_size", F.when(F.col("_level").isNull() | (F.col("_level") * F.col("_w") > F.col("_cap")), F.col("_cap").cast("double")).otherwise(F.col("_level") * F.col("_w")).alias("target"))
 
 
-def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, cap: int = 2, seed: str = "mix") -> DataFrame:
+def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, cap: int = 2, seed: str = "mix", max_broadcast: int = MAX_BROADCAST) -> DataFrame:
     """One row for each row of ``docs``: its id, text_hash, source, size, source_size, target, copies, taken.
 
     The same rows and seed give the same mix. Null text: size 0, never taken. A
@@ -62,14 +64,15 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     base = cut(base.withColumn("_u", u))
     sizes = base.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = cut(source_targets(sizes, weights, share, cap))
-    # Sources can outnumber what a broadcast may hold, so Spark picks the join from their size.
+    # A broadcast keeps a hot source's rows where they are; sources can outnumber what it may hold.
+    held = F.broadcast if few(targets, max_broadcast) else lambda df: df
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    rows = base.join(targets.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s"))).drop("_s").withColumns({"_whole": F.floor(ratio), "_p": ratio - F.floor(ratio)})
+    rows = base.join(held(targets.withColumnRenamed("source", "_s")), F.col("source").eqNullSafe(F.col("_s"))).drop("_s").withColumns({"_whole": F.floor(ratio), "_p": ratio - F.floor(ratio)})
     odds = (F.col("_u") / (1 - F.col("_u"))) / F.when(F.col("_p") > 0, F.col("_p") / (1 - F.col("_p")))
     rows = rows.withColumns({"_rank": odds, "_step": F.floor(F.col("_u") * STEPS), "_taken": F.lit(False)})
     left = targets.select(F.col("source").alias("_s"), (F.col("target") - F.col("source_size") * F.floor(ratio)).alias("_left"))
     for k in range(ROUNDS):
-        rows, left = _fill(rows, left, last=k == ROUNDS - 1)
+        rows, left = _fill(rows, held(left), last=k == ROUNDS - 1)
     copies = F.col("_whole") + F.col("_taken").cast("long")
     return rows.select(F.col("_id").alias(id_col), "text_hash", "source", "size", "source_size", "target", copies.alias("copies"), (F.col("size") * copies).alias("taken"))
 
