@@ -25,9 +25,9 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     result; input columns named like a result column are replaced. ``carry``:
     the columns to return besides the id (all by default).
 
-    The keys of level 2 are broadcast only if there are at most
-    ``max_broadcast`` of them (24 bytes each); beyond that they are joined by a
-    shuffle.
+    The keys of levels 1 and 2 are broadcast only if there are at most
+    ``max_broadcast`` of them (4 and 24 bytes each); beyond that they are joined
+    by a shuffle.
     """
     docs = without(docs, "keep_id", "group_size", "kept")
     carry = [c for c in (docs.columns if carry is None else carry) if c != id_col]
@@ -38,9 +38,10 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.struct(F.lit(0).alias("__wb_none"), *[F.col(f"`{c}`") for c in carry]).alias("_row"),
         (F.xxhash64(*[F.col(f"`{c}`") for c in extra]) if extra else F.lit(0)).alias("_order"),
     ).withColumns({"_len": F.octet_length("_text"), "_pre": F.xxhash64(F.substring("_text", 1, prefix_chars))})
-    lengths = keyed.groupBy("_len").count().filter("count > 1").select("_len")
-    prefixes = cut(keyed.select("_len", "_pre").join(lengths, "_len", "left_semi").groupBy("_len", "_pre").count().filter("count > 1").select("_len", "_pre", F.lit(True).alias("_more")))
-    marked = keyed.join(F.broadcast(prefixes) if few(prefixes, max_broadcast) else prefixes, ["_len", "_pre"], "left")
+    held = lambda df: F.broadcast(df) if few(df, max_broadcast) else df
+    lengths = cut(keyed.groupBy("_len").count().filter("count > 1").select("_len"))
+    prefixes = cut(keyed.select("_len", "_pre").join(held(lengths), "_len", "left_semi").groupBy("_len", "_pre").count().filter("count > 1").select("_len", "_pre", F.lit(True).alias("_more")))
+    marked = keyed.join(held(prefixes), ["_len", "_pre"], "left")
     alone = marked.filter("_more is null").select("_id", "_row", F.col("_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"))
 
     rest = marked.filter("_more").select("_id", "_row", "_order", "_len", F.sha2("_text", 256).alias("_full"))
