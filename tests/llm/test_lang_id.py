@@ -59,3 +59,9 @@ def test_model_without_labels(spark):
     assert names == [] and logs.shape[1] == 1
     docs = spark.createDataFrame([(1, "some text")], "doc_id long, text string")
     assert [r.language for r in identify_languages(docs, (names, logs), declared_col=None, address_col=None).collect()] == ["und"]
+
+
+def test_rare_languages_are_modelled(spark):
+    rows = [(k, text("en", k), "en") for k in range(3000)] + [(5000 + k, text("fr", k), "fr") for k in range(8)] + [(6000 + k, text("de", k), "de") for k in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert fit(docs, sample=50)[0] == ["en", "fr"]

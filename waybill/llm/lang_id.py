@@ -14,7 +14,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ._common import cut, few, python_ready, table, text_or_empty
@@ -22,7 +22,7 @@ from ._repeats import bytes_of, loads, mix, padded
 
 UND = "und"
 GRAM_BITS = 16
-#: Labelled rows that the text model is fitted on, at most; a language needs LEAST_ROWS of them.
+#: Rows of each label that the text model is fitted on, at most; a language needs LEAST_ROWS in the whole table.
 SAMPLE = 4000
 LEAST_ROWS = 5
 SMOOTH, TEMPER = 0.5, 0.1
@@ -55,21 +55,25 @@ def _counted(batches):
 def fit(docs: DataFrame, label_col: str = "lang", text_col: str = "text", id_col: str = "doc_id", sample: int = SAMPLE) -> tuple[list[str], np.ndarray]:
     """(languages, log probability of each gram bucket in each, ``und`` last: uniform).
 
-    Fitted on the at most ``sample`` labelled rows whose keyed hash is smallest;
-    their grams are counted on the executors, and at most 4 x languages vectors
-    of fixed size come to the driver.
+    Every label with at least LEAST_ROWS rows in the whole table is a language,
+    fitted on the at most ``sample`` of its rows whose keyed hash is smallest (and
+    rows that repeat the last of them); their grams are counted on the executors,
+    and at most 4 x languages vectors of fixed size come to the driver.
     """
     python_ready(docs.sparkSession)
     key = F.xxhash64(F.lit("lang-id"), F.col(id_col), F.xxhash64(text_col))
     rows = docs.select(F.lower(F.trim(F.col(label_col).cast("string"))).alias("label"), key.alias("key"), F.col(text_col).cast("string").alias("text")).filter("label <> '' and text is not null")
-    last = rows.select("key").orderBy("key").limit(sample).agg(F.max("key")).first()[0]
+    rows = rows.filter(F.col("label") != UND)
+    # Smallest keys of each label's parts first, so a frequent label isn't one task's.
+    ranked = rows.select("label", "key")
+    for over in (["label", F.pmod("key", F.lit(64))], ["label"]):
+        ranked = ranked.withColumn("rank", F.row_number().over(Window.partitionBy(*over).orderBy("key"))).filter(F.col("rank") <= sample).drop("rank")
+    enough = rows.groupBy("label").count().filter(F.col("count") >= LEAST_ROWS).select("label")
+    last = cut(ranked.groupBy("label").agg(F.max("key").alias("last")).join(enough, "label"))
+    chosen = rows.join(F.broadcast(last), "label").filter(F.col("key") <= F.col("last"))
     counts: dict[str, np.ndarray] = {}
-    if last is not None:
-        chosen = rows.filter(F.col("key") <= last)
-        enough = {r.label for r in chosen.groupBy("label").count().filter(F.col("count") >= LEAST_ROWS).collect()}
-        for r in chosen.select("label", "text").repartition(4).mapInArrow(_counted, "label string, counts binary").collect():
-            if r.label in enough and r.label != UND:
-                counts[r.label] = counts.get(r.label, 0) + np.frombuffer(r.counts, np.int64)
+    for r in chosen.select("label", "text").repartition(4).mapInArrow(_counted, "label string, counts binary").collect():
+        counts[r.label] = counts.get(r.label, 0) + np.frombuffer(r.counts, np.int64)
     names = sorted(counts)
     logs = [np.log((counts[x] + SMOOTH) / (counts[x].sum() + SMOOTH * (1 << GRAM_BITS))) for x in names]
     return names, np.array([*logs, np.full(1 << GRAM_BITS, -GRAM_BITS * np.log(2))]).T.astype(np.float32)
