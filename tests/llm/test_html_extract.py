@@ -51,3 +51,16 @@ def test_operator(spark):
     assert out.columns == ["page_id", "url", "text"]
     assert sorted((r.page_id if r.page_id is not None else -1, r.text) for r in out.collect()) == [(-1, PAGES[4][1])] + [(k, t) for k, (_, t) in enumerate(PAGES)]
     assert extract_main_text(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
+
+
+@pytest.mark.parametrize(
+    "page,text",
+    [
+        (f'<article><h2 id="related-work">Related work</h2><p>{P1}</p><h2 id="search">Search</h2><section id="discussion"><p>{P2}</p></section></article>', f"Related work {P1} Search {P2}"),
+        (f'<body><div class="elementor-widget elementor-widget-text-editor"><p>{P1}</p></div><div class="elementor-widget"><p>{P2}</p></div></body>', f"{P1} {P2}"),
+        (f'<body><div class="widget"><p>{P1}</p><p>{P2}</p></div></body>', f"{P1} {P2}"),
+        (f'<article><p>{P1}</p><section id="comments"><p>{P2}</p></section><div class="comment-list widget-area"><p>{P2}</p></div></article>', P1),
+    ],
+)
+def test_article_words_are_not_noise(page, text):
+    assert main_text(page) == text

@@ -41,6 +41,9 @@ UNSEEN = CUT - {"head", "title", "dialog", "math"}
 #: Cut unless the article is inside.
 CUT_OUTER = {"nav", "aside", "footer", "form", "menu"}
 NOISE = set("ad ads adv advert adverts advertisement advertising adsense banner banners promo promos promotion sponsor sponsored sponsors nav navbar navigation menu menus breadcrumb breadcrumbs sidebar sidebars aside footer comment comments commentlist reply replies respond disqus cookie cookies consent gdpr notice notices notification alert alerts warning popup modal overlay newsletter subscribe subscription signup share sharing sharebar social related recommended recommendations widget widgets skip pagination pager toolbar login search masthead topbar disclaimer paywall complementary contentinfo feedback discussion discussions".split())
+#: Words that may stand beside those of NOISE in a token; with any other word (related-work, elementor-widget) it isn't noise.
+BESIDE = set("site page global main primary secondary left right top bottom area bar block box body container content inner outer item items list link links wrap wrapper section thread author meta form li div id post".split())
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 #: Only outside an article.
 NOISE_OUTER = {"header"}
 COMMENTS = {"comments", "comment", "commentlist", "disqus", "replies"}
@@ -133,19 +136,28 @@ class Dom:
 
 
 def _names(attrs: str) -> tuple[set[str], bool]:
-    """The words in an element's class, id and role; whether it is hidden."""
+    """The words of NOISE and NOISE_OUTER, and ``main``, that tokens of an element's class, id and role name; whether it is hidden."""
     words, hidden = set(), False
     for name, *values in ATTRIBUTE.findall(attrs):
         name, value = name.lower(), "".join(values)
         if name in ("class", "id", "role"):
-            words |= set(SPLIT.split(CAMEL.sub("-", value).lower()))
+            for token in value.split():
+                parts = {x for x in SPLIT.split(CAMEL.sub("-", token).lower()) if x and not x.isdigit()}
+                known = parts & (NOISE | NOISE_OUTER)
+                if parts <= known | BESIDE:
+                    words |= known
+                if "main" in parts:
+                    words.add("main")
         elif name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "style" and HIDDEN.search(value):
             hidden = True
     return words, hidden
 
 
-def _cut(dom: Dom) -> tuple[list[bool], list[bool]]:
-    """(elements that can't be article text, elements that are an article)"""
+def _cut(dom: Dom, all_noise: bool = True) -> tuple[list[bool], list[bool]]:
+    """(elements that can't be article text, elements that are an article)
+
+    all_noise: without it, only what is never shown as text goes.
+    """
     tag, parent, n = dom.tag, dom.parent, len(dom.tag)
     named = [_names(a) if a else (set(), False) for a in dom.attrs]
     sure = [t in CUT or hidden for t, (_, hidden) in zip(tag, named)]
@@ -163,8 +175,10 @@ def _cut(dom: Dom) -> tuple[list[bool], list[bool]]:
         p = parent[i]
         within[i] = within[p] or article[i]
         outer = not page[i] and not within[i] and (tag[i] == "header" or bool(named[i][0] & NOISE_OUTER))
+        # Ids of headings and sections in an article are slugs of its own words.
+        slug = within[p] and tag[i] in HEADINGS | {"section"} and not named[i][0] & COMMENTS
         # Whatever its class says, an element around an article isn't noise.
-        gone[i] = gone[p] or sure[i] or not holds[i] and (likely[i] or outer)
+        gone[i] = gone[p] or sure[i] or all_noise and not holds[i] and (likely[i] and not slug or outer)
     return gone, article
 
 
@@ -176,6 +190,8 @@ def main_text(source: str | None) -> str:
     tag, parent, n = dom.tag, dom.parent, len(dom.tag)
     gone, article = _cut(dom)
     flow = [(i, html.unescape(t) if "&" in t else t) for i, t in dom.flow]
+    if not any(i >= 0 and not gone[i] and t.strip() for i, t in flow):
+        gone, article = _cut(dom, False)  # all text was cut, so density alone decides
     linked = [False] * n
     for i in range(1, n):
         linked[i] = linked[parent[i]] or tag[i] == "a"
