@@ -64,3 +64,9 @@ def test_operator(spark):
 )
 def test_article_words_are_not_noise(page, text):
     assert main_text(page) == text
+
+
+def test_lists_of_links():
+    items = "".join(f'<li><a href="/{k}">Source {k}</a></li>' for k in range(3))
+    assert main_text(f"<article><p>{P1}</p><ol>{items}</ol><ul class='nav'>{items}</ul></article>") == f"{P1} Source 0 Source 1 Source 2"
+    assert main_text(f"<body><div><p>{P1}</p><p>{P2}</p><ul>{items}</ul></div></body>") == f"{P1} {P2}"

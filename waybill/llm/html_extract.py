@@ -192,8 +192,9 @@ def main_text(source: str | None) -> str:
     flow = [(i, html.unescape(t) if "&" in t else t) for i, t in dom.flow]
     if not any(i >= 0 and not gone[i] and t.strip() for i, t in flow):
         gone, article = _cut(dom, False)  # all text was cut, so density alone decides
-    linked = [False] * n
+    linked, within = [False] * n, list(article)
     for i in range(1, n):
+        within[i] = within[i] or within[parent[i]]
         linked[i] = linked[parent[i]] or tag[i] == "a"
     chars, links, tags, link_tags = [0] * n, [0] * n, [0] * n, [0] * n
     all_chars = all_links = 0
@@ -245,8 +246,8 @@ def main_text(source: str | None) -> str:
             if density[i] >= threshold and chars[i]:
                 content[top[i]] = True
     for i in range(1, n):
-        # A list of nothing but links is a menu wherever it stands.
-        menu = tag[i] in ("ul", "ol") and link_tags[i] >= 3 and links[i] == chars[i]
+        # Outside an article a list of nothing but links is a menu; in one it may be its sources.
+        menu = not within[i] and tag[i] in ("ul", "ol") and link_tags[i] >= 3 and links[i] == chars[i]
         content[i] = (content[i] or content[parent[i]]) and not gone[i] and not menu
     out = []
     for i, t in flow:
