@@ -134,7 +134,8 @@ def identify_languages(docs: DataFrame, model: tuple[list[str], np.ndarray], id_
     ``address_col`` holds an address or a host; ``declared_col`` a declared
     language, of which the part before ``-`` or ``_`` counts. A row is rejected
     if its language is ``und`` or the confidence is under ``least``. Null and
-    empty texts are ``und``, whatever is declared. Null declarations, addresses
+    empty texts and those of under 4 bytes, which have no 4-gram, are ``und`` with
+    confidence 0, whatever declaration, address and host say. Null declarations, addresses
     and hosts tell nothing. Repeated rows each get a result. An empty table gives
     an empty result. Other columns are not read.
     """
