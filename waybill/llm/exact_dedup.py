@@ -3,7 +3,10 @@
 Level 1 groups by byte length, level 2 by a hash of the first characters among
 the lengths seen more than once, level 3 by SHA-256 of the whole text among the
 (length, prefix) groups seen more than once. Rows that drop out at a level are
-alone and never pass through a later one: their text isn't hashed or moved.
+alone and never pass through a later one.
+
+Levels 1 and 2 work on one narrow frame (length, prefix hash) that a first read
+of the table leaves; a second read hashes the survivors' texts. Texts never move.
 """
 
 from __future__ import annotations
@@ -14,6 +17,23 @@ from pyspark.sql import functions as F
 from ._common import cut, few, hashable, table, text_or_empty, without
 
 MAX_BROADCAST = 1_000_000
+#: Largest groups that are broadcast when groups are too many for it: those over 1 / HOT_GROUPS of all rows, so fewer than that.
+HOT_GROUPS = 100_000
+
+
+def _join_groups(rows: DataFrame, groups: DataFrame, max_broadcast: int) -> DataFrame:
+    """rows with their group's columns (null if alone), none of a large group's rows moved."""
+    if few(groups, max_broadcast):
+        return rows.join(F.broadcast(groups), "_key", "left")
+    total = groups.agg(F.sum("group_size")).first()[0] or 0
+    large = F.col("group_size") > total / HOT_GROUPS
+    hot = groups.filter(large).select("_key", F.struct("_top", "group_size").alias("_hot"))
+    cold = groups.filter(~large).select(F.col("_key").alias("_cold_key"), F.struct("_top", "group_size").alias("_cold"))
+    rows = rows.join(F.broadcast(hot), "_key", "left")
+    # Rows that have their group look for no other, and spread by their id.
+    rows = rows.withColumn("_seek", F.when(F.col("_hot").isNull(), F.col("_key")).otherwise(F.concat(F.lit("-"), F.coalesce(F.col("_id").cast("string"), F.lit("")))))
+    rows = rows.join(cold, F.col("_seek") == F.col("_cold_key"), "left")
+    return rows.withColumn("_group", F.coalesce("_hot", "_cold")).withColumns({"_top": F.col("_group._top"), "group_size": F.col("_group.group_size")})
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None, prefix_chars: int = 256, max_broadcast: int = MAX_BROADCAST) -> DataFrame:
@@ -25,9 +45,12 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     result; input columns named like a result column are replaced. ``carry``:
     the columns to return besides the id (all by default).
 
-    The keys of levels 1 and 2 are broadcast only if there are at most
-    ``max_broadcast`` of them (4 and 24 bytes each); beyond that they are joined
-    by a shuffle.
+    Keys of each level are broadcast only if there are at most ``max_broadcast``
+    of them. With more (length, prefix) groups every text is hashed where it is
+    read, since moving texts to their groups costs more; with more groups of
+    equal texts, those over a 100,000th of their rows are broadcast and the rest
+    joined by a shuffle. The table is read twice, three times if ``carry`` holds
+    the text.
     """
     docs = without(docs, "keep_id", "group_size", "kept")
     carry = [c for c in (docs.columns if carry is None else carry) if c != id_col]
@@ -36,22 +59,40 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.col(id_col).alias("_id"),
         text_or_empty(text_col).alias("_text"),
         F.struct(F.lit(0).alias("__wb_none"), *[F.col(f"`{c}`") for c in carry]).alias("_row"),
-        (F.xxhash64(*[F.col(f"`{c}`") for c in extra]) if extra else F.lit(0)).alias("_order"),
+        (F.xxhash64(*[F.col(f"`{c}`") for c in extra]) if extra else F.lit(0)).cast("long").alias("_order"),
     ).withColumns({"_len": F.octet_length("_text"), "_pre": F.xxhash64(F.substring("_text", 1, prefix_chars))})
-    held = lambda df: F.broadcast(df) if few(df, max_broadcast) else df
-    lengths = cut(keyed.groupBy("_len").count().filter("count > 1").select("_len"))
-    prefixes = cut(keyed.select("_len", "_pre").join(held(lengths), "_len", "left_semi").groupBy("_len", "_pre").count().filter("count > 1").select("_len", "_pre", F.lit(True).alias("_more")))
-    marked = keyed.join(held(prefixes), ["_len", "_pre"], "left")
-    alone = marked.filter("_more is null").select("_id", "_row", F.col("_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"))
-
-    rest = marked.filter("_more").select("_id", "_row", "_order", "_len", F.sha2("_text", 256).alias("_full"))
-    groups = rest.groupBy("_full", "_len").agg(F.max(F.struct("_id", "_order")).alias("_top"), F.count("*").alias("group_size"))
-    rest = rest.join(groups, ["_full", "_len"]).withColumn("_is_top", F.col("_id").eqNullSafe(F.col("_top._id")) & (F.col("_order") == F.col("_top._order")))
-    lost = rest.filter("not _is_top").select("_id", "_row", F.col("_top._id").alias("keep_id"), "group_size", F.lit(False).alias("kept"))
-    # Usually one row for each group: a row that is repeated as a whole is counted, not gathered.
-    top = rest.filter("_is_top").groupBy("_full", "_len").agg(F.first("_id").alias("_id"), F.first("_row").alias("_row"), F.first("group_size").alias("group_size"), F.count("*").alias("_n"))
-    top = top.select("_id", "_row", F.col("_id").alias("keep_id"), "group_size", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))).alias("_i")).select("_id", "_row", "keep_id", "group_size", (F.col("_i") == 1).alias("kept"))
-    return alone.unionByName(lost).unionByName(top).select(F.col("_id").alias(id_col), *[F.col(f"_row.`{c}`").alias(c) for c in carry], "keep_id", "group_size", "kept")
+
+    sizes = cut(keyed.select("_len", "_pre"))
+    lengths = cut(sizes.groupBy("_len").count().filter("count > 1").select("_len"))
+    lengths = F.broadcast(lengths) if few(lengths, max_broadcast) else lengths
+    prefixes = cut(sizes.join(lengths, "_len", "left_semi").groupBy("_len", "_pre").count().filter("count > 1").select("_len", "_pre", F.lit(True).alias("_more")))
+    full = F.concat(F.sha2("_text", 256), F.lit(":"), F.col("_len").cast("string"))
+    if few(prefixes, max_broadcast):
+        marked = keyed.join(F.broadcast(prefixes), ["_len", "_pre"], "left").withColumn("_full", F.when(F.col("_more"), full))
+    else:
+        marked = keyed.withColumn("_full", full)
+    # A row that dropped out has a key of its own, so that shuffles spread it.
+    alone = F.concat(F.lit("-"), F.coalesce(F.col("_id").cast("string"), F.lit("")), F.lit("-"), F.col("_pre").cast("string"))
+    marked = marked.select("_id", "_row", "_order", "_full", F.coalesce("_full", alone).alias("_key"))
+    if text_col not in carry:
+        marked = cut(marked)
+
+    # Repeated rows are counted by themselves first: with the id in the key, a large group is many keys.
+    own = marked.filter("_full is not null").groupBy("_key", "_id", "_order").agg(F.count("*").alias("_n"))
+    groups = cut(own.groupBy("_key").agg(F.max(F.struct("_id", "_order", "_n")).alias("_top"), F.sum("_n").alias("group_size")).filter("group_size > 1"))
+    rows = _join_groups(marked, groups, max_broadcast)
+    is_top = F.col("_top").isNull() | (F.col("_id").eqNullSafe(F.col("_top._id")) & (F.col("_order") == F.col("_top._order")))
+    keep_id = F.when(F.col("_top").isNull(), F.col("_id")).otherwise(F.col("_top._id"))
+    rows = rows.select("_id", "_row", "_key", keep_id.alias("keep_id"), F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"), is_top.alias("kept"), F.coalesce(F.col("_top._n") > 1, F.lit(False)).alias("_again"))
+    out = [rows.select("_id", "_row", "keep_id", "group_size", "kept")]
+    if not groups.filter("_top._n > 1").isEmpty():
+        # A row to keep that is repeated as a whole is counted, not gathered, and one of it stays.
+        several = F.col("kept") & F.col("_again")
+        top = rows.filter(several).groupBy("_key").agg(F.first("_id").alias("_id"), F.first("_row").alias("_row"), F.first("keep_id").alias("keep_id"), F.first("group_size").alias("group_size"), F.count("*").alias("_n"))
+        top = top.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n")))).select("_id", "_row", "keep_id", "group_size", (F.col("_i") == 1).alias("kept"))
+        out = [rows.filter(~several).select("_id", "_row", "keep_id", "group_size", "kept"), top]
+    whole = out[0] if len(out) == 1 else out[0].unionByName(out[1])
+    return whole.select(F.col("_id").alias(id_col), *[F.col(f"_row.`{c}`").alias(c) for c in carry], "keep_id", "group_size", "kept")
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
