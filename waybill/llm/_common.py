@@ -48,6 +48,29 @@ def few(df: DataFrame, limit: int) -> bool:
     return df.limit(limit + 1).count() <= limit
 
 
+def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, spread: Column, limit: int = 1_000_000, parts: int = 100_000) -> DataFrame:
+    """``rows`` with the columns of their group in ``groups`` (checkpointed, one row a ``key``; null without one), no large group's rows moved.
+
+    At most ``limit`` groups are broadcast. Of more, those that hold over 1 /
+    ``parts`` of all grouped rows (by ``size``) are, which are fewer than
+    ``parts``; the rest are joined by a shuffle, where rows that have their group
+    or no key go by ``spread``.
+    """
+    if few(groups, limit):
+        return rows.join(F.broadcast(groups), key, "left")
+    total = groups.agg(F.sum(size)).first()[0] or 0
+    large = F.col(size) > total / parts
+    others = [c for c in groups.columns if c != key]
+    both = F.struct(*others)
+    rows = rows.join(F.broadcast(groups.filter(large).select(key, both.alias("__wb_hot"))), key, "left")
+    own = F.col(key) if dict(rows.dtypes)[key] != "binary" else F.hex(key)
+    seek = F.when(F.col("__wb_hot").isNull() & F.col(key).isNotNull(), own.cast("string")).otherwise(F.concat(F.lit("-"), spread))
+    cold = groups.filter(~large).select(own.cast("string").alias("__wb_key"), both.alias("__wb_cold"))
+    rows = rows.withColumn("__wb_seek", seek).join(cold, F.col("__wb_seek") == F.col("__wb_key"), "left")
+    rows = rows.withColumn("__wb_group", F.coalesce("__wb_hot", "__wb_cold"))
+    return rows.select(*[c for c in rows.columns if not c.startswith("__wb_") and c not in others], *[F.col(f"__wb_group.`{c}`").alias(c) for c in others])
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

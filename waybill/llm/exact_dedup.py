@@ -14,26 +14,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import cut, few, hashable, table, text_or_empty, without
+from ._common import cut, few, hashable, join_groups, table, text_or_empty, without
 
 MAX_BROADCAST = 1_000_000
-#: Largest groups that are broadcast when groups are too many for it: those over 1 / HOT_GROUPS of all rows, so fewer than that.
-HOT_GROUPS = 100_000
-
-
-def _join_groups(rows: DataFrame, groups: DataFrame, max_broadcast: int) -> DataFrame:
-    """rows with their group's columns (null if alone), none of a large group's rows moved."""
-    if few(groups, max_broadcast):
-        return rows.join(F.broadcast(groups), "_key", "left")
-    total = groups.agg(F.sum("group_size")).first()[0] or 0
-    large = F.col("group_size") > total / HOT_GROUPS
-    hot = groups.filter(large).select("_key", F.struct("_top", "group_size").alias("_hot"))
-    cold = groups.filter(~large).select(F.col("_key").alias("_cold_key"), F.struct("_top", "group_size").alias("_cold"))
-    rows = rows.join(F.broadcast(hot), "_key", "left")
-    # Rows that have their group look for no other, and spread by their id.
-    rows = rows.withColumn("_seek", F.when(F.col("_hot").isNull(), F.col("_key")).otherwise(F.concat(F.lit("-"), F.coalesce(F.col("_id").cast("string"), F.lit("")))))
-    rows = rows.join(cold, F.col("_seek") == F.col("_cold_key"), "left")
-    return rows.withColumn("_group", F.coalesce("_hot", "_cold")).withColumns({"_top": F.col("_group._top"), "group_size": F.col("_group.group_size")})
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None, prefix_chars: int = 256, max_broadcast: int = MAX_BROADCAST) -> DataFrame:
@@ -80,7 +63,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # Repeated rows are counted by themselves first: with the id in the key, a large group is many keys.
     own = marked.filter("_full is not null").groupBy("_key", "_id", "_order").agg(F.count("*").alias("_n"))
     groups = cut(own.groupBy("_key").agg(F.max(F.struct("_id", "_order", "_n")).alias("_top"), F.sum("_n").alias("group_size")).filter("group_size > 1"))
-    rows = _join_groups(marked, groups, max_broadcast)
+    rows = join_groups(marked, groups, "_key", "group_size", F.coalesce(F.col("_id").cast("string"), F.lit("")), max_broadcast)
     is_top = F.col("_top").isNull() | (F.col("_id").eqNullSafe(F.col("_top._id")) & (F.col("_order") == F.col("_top._order")))
     keep_id = F.when(F.col("_top").isNull(), F.col("_id")).otherwise(F.col("_top._id"))
     rows = rows.select("_id", "_row", "_key", keep_id.alias("keep_id"), F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"), is_top.alias("kept"), F.coalesce(F.col("_top._n") > 1, F.lit(False)).alias("_again"))
