@@ -62,8 +62,9 @@ def plain_targets(sizes, weights=(3, 1, 2), share=1.5, cap=2):
 @pytest.mark.parametrize("sizes", [{"a": 100, "b": 50, "c": 10, None: 7}, {"a": 1, "b": 1000, "c": 1000}, {"a": 0, "b": 0}, {"é": 5, "z": 500, "Z": 60, "": 3}, {"x": 12}])
 def test_targets(spark, sizes):
     rows = spark.createDataFrame(list(sizes.items()), "source string, source_size long")
-    got = {r.source: r.target for r in source_targets(rows).collect()}
-    assert got == pytest.approx(plain_targets(sizes))
+    for limit in (10_000, 0):  # in one window, and in ranges
+        got = {r.source: r.target for r in source_targets(rows, max_broadcast=limit).collect()}
+        assert got == pytest.approx(plain_targets(sizes))
 
 
 DOCS = [(k, "w " * (1 + (k * k) % 90), ["a", "b", "c", "d", None][k % 5], k) for k in range(400)] + [(1000, "w " * 5000, "a", 0), (1001, None, "a", 0), (1002, "", "b", 0), (None, "no id here", "c", 0), (None, "no id here", "c", 0), (7, "w " * (1 + 49 % 90), "c", 7)]
@@ -93,6 +94,21 @@ def test_mix(spark):
     assert mixed_documents(docs).columns == docs.columns
 
 
+def test_mix_inclusion(spark):
+    """Copies a document gets on average, over 60 sources of the same sizes, follow its size; a plain random order gives all the same."""
+    sizes = [10 + 3 * k for k in range(60)] * 4
+    rows = [(1000 * s + k, "w " * n, f"s{s:03d}") for s in range(60) for k, n in enumerate(sizes)]
+    out = mix_sources(spark.createDataFrame(rows, "doc_id long, text string, source string"), weights=(1,), share=1.2).collect()
+    mean = Counter()
+    for r in out:
+        mean[r.size] += r.copies / 240
+    m = {n: int(n**0.5 * 16) for n in sizes}
+    c = 1.2 * sum(sizes) / sum(n * m[n] for n in sizes)  # none reaches the cap
+    assert max(c * m[n] for n in sizes) < 2
+    off = [abs(mean[n] - c * m[n]) for n in m]
+    assert max(off) < 0.15 and sum(off) / 60 < 0.04 < 0.2 < sum(abs(1.2 - c * m[n]) for n in m) / 60
+
+
 def test_mix_empty(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, source string")
     assert mix_sources(docs).collect() == [] and mixed_documents(docs).collect() == []
