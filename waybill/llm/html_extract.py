@@ -4,12 +4,13 @@ For every element: characters for each tag, adjusted for links (composite text
 density, after Sun, Song and Liao, "DOM based content extraction via text
 density", 2011). An element's density sum is the sum of its children's
 densities. The element with the largest sum is the core; the least density on
-its path to the body is the threshold. Every element at or above the threshold
-contributes the largest-sum element of its subtree; if the core lies in an
-``article`` or ``main`` element, that element is the content as a whole.
-Elements that can't be article text (menus, forms, adverts, comments, ...) are
-cut before, by tag, role and class, since density can't tell dense comments
-from an article.
+its path to the body is the threshold. Densities are taken on the page with its
+menus and boxes, without what is never shown and readers' comments, which are as
+dense as an article. If the core lies in an ``article`` or ``main`` element,
+the innermost is the content as a whole; otherwise every element at or above the
+threshold contributes the largest-sum element of its subtree. What stands within
+and is no article text by tag, role or class (forms, adverts, share bars) goes.
+If the core itself is such a box, or no element is an article, boxes go first.
 """
 
 from __future__ import annotations
@@ -35,12 +36,12 @@ INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "dat
 ENDS_P = {"address", "article", "aside", "blockquote", "center", "details", "dialog", "dir", "div", "dl", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hgroup", "hr", "main", "menu", "nav", "ol", "p", "pre", "search", "section", "summary", "table", "ul"}
 #: tag -> (open elements it ends, elements in which the search for them stops)
 ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "tbody": ({"thead", "tbody", "tfoot"}, {"table"}), "tfoot": ({"thead", "tbody", "tfoot"}, {"table"}), "option": ({"option"}, {"select"})}
-CUT = {"head", "script", "style", "noscript", "template", "iframe", "object", "embed", "svg", "canvas", "math", "select", "button", "input", "textarea", "title", "datalist", "dialog", "noframes", "audio", "video", "map"}
+CUT = {"head", "script", "style", "noscript", "template", "iframe", "object", "embed", "svg", "canvas", "select", "button", "input", "textarea", "title", "datalist", "dialog", "noframes", "audio", "video", "map"}
 #: Not rendered as a block, so the line goes on around them.
-UNSEEN = CUT - {"head", "title", "dialog", "math"}
+UNSEEN = CUT - {"head", "title", "dialog"}
 #: Cut unless the article is inside.
 CUT_OUTER = {"nav", "aside", "footer", "form", "menu"}
-NOISE = set("ad ads adv advert adverts advertisement advertising adsense banner banners promo promos promotion sponsor sponsored sponsors nav navbar navigation menu menus breadcrumb breadcrumbs sidebar sidebars aside footer comment comments commentlist reply replies respond disqus cookie cookies consent gdpr notice notices notification alert alerts warning popup modal overlay newsletter subscribe subscription signup share sharing sharebar social related recommended recommendations widget widgets skip pagination pager toolbar login search masthead topbar disclaimer paywall complementary contentinfo feedback discussion discussions".split())
+NOISE = set("ad ads adv advert adverts advertisement advertising adsense banner banners promo promos promotion sponsor sponsored sponsors nav navbar navigation menu menus breadcrumb breadcrumbs sidebar sidebars aside footer comment comments commentlist reply replies respond disqus cookie cookies consent gdpr notice notices notification alert alerts popup modal overlay newsletter subscribe subscription signup share sharing sharebar social related recommended recommendations widget widgets skip pagination pager toolbar login search masthead topbar disclaimer paywall complementary contentinfo feedback discussion discussions".split())
 #: Words that may stand beside those of NOISE in a token; with any other word (related-work, elementor-widget) it isn't noise.
 BESIDE = set("site page global main primary secondary left right top bottom area bar block box body container content inner outer item items list link links wrap wrapper section thread author meta form li div id post".split())
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
@@ -153,10 +154,10 @@ def _names(attrs: str) -> tuple[set[str], bool]:
     return words, hidden
 
 
-def _cut(dom: Dom, all_noise: bool = True) -> tuple[list[bool], list[bool]]:
-    """(elements that can't be article text, elements that are an article)
+def _cut(dom: Dom, all_noise: bool = True) -> tuple[list[bool], list[bool], list[bool]]:
+    """(elements that aren't article text, those within an article, elements that are an article)
 
-    all_noise: without it, only what is never shown as text goes.
+    all_noise: without it, only what is never shown as text goes, and readers' comments, which are as dense as an article.
     """
     tag, parent, n = dom.tag, dom.parent, len(dom.tag)
     named = [_names(a) if a else (set(), False) for a in dom.attrs]
@@ -178,76 +179,103 @@ def _cut(dom: Dom, all_noise: bool = True) -> tuple[list[bool], list[bool]]:
         # Ids of headings and sections in an article are slugs of its own words.
         slug = within[p] and tag[i] in HEADINGS | {"section"} and not named[i][0] & COMMENTS
         # Whatever its class says, an element around an article isn't noise.
-        gone[i] = gone[p] or sure[i] or all_noise and not holds[i] and (likely[i] and not slug or outer)
-    return gone, article
+        gone[i] = gone[p] or sure[i] or talk[i] and not holds[i] or all_noise and not holds[i] and (likely[i] and not slug or outer)
+    return gone, within, article
 
 
-def main_text(source: str | None) -> str:
-    """The main text of one page; empty if there is none."""
+class Densities:
+    """Composite text density and density sum of every element, from those that aren't cut.
+
+    density: characters a tag, times the logarithm of characters and tags over
+    those in links, to a base that grows with the share of links of element and page.
+    """
+
+    def __init__(self, dom: Dom, flow: list[tuple[int, str]], gone: list[bool]):
+        tag, parent, n = dom.tag, dom.parent, len(dom.tag)
+        linked = [False] * n
+        for i in range(1, n):
+            linked[i] = linked[parent[i]] or tag[i] == "a"
+        self.chars, self.links, self.tags, self.link_tags = [0] * n, [0] * n, [0] * n, [0] * n
+        page_chars = page_links = 0
+        for i, t in flow:
+            if i >= 0 and tag[i] not in CUT:
+                c = len("".join(t.split()))
+                page_chars += c
+                page_links += c * linked[i]
+                if not gone[i]:
+                    self.chars[i] += c
+                    self.links[i] += c * linked[i]
+        for i in range(n - 1, 0, -1):
+            if not gone[i]:
+                p = parent[i]
+                self.chars[p] += self.chars[i]
+                self.links[p] += self.links[i]
+                self.tags[p] += self.tags[i] + 1
+                self.link_tags[p] += self.link_tags[i] + (tag[i] == "a")
+        share = page_links / max(1, page_chars)
+        self.density = [self.of(self.chars[i], self.links[i], self.tags[i], self.link_tags[i], share) for i in range(n)]
+        self.sums = [0.0] * n
+        for i in range(1, n):
+            self.sums[parent[i]] += self.density[i]
+
+    @staticmethod
+    def of(c: int, lc: int, t: int, lt: int, share: float) -> float:
+        if not c:
+            return 0.0
+        lc, t, lt = max(1, lc), max(1, t), max(1, lt)
+        # The logarithm's base: near 1 without any link, so its own logarithm is held at 0.1.
+        base = math.log(math.log(c / max(1, c - lc) * lc + share * c + math.e))
+        return c / t * math.log(max(1.0, c / lc * t / lt)) / max(base, 0.1)
+
+    def select(self, dom: Dom) -> tuple[list[int], float, list[int]]:
+        """(path from the core to the body, the least density on it, the largest-sum element of each subtree)."""
+        n, parent = len(dom.tag), dom.parent
+        body = dom.tag.index("body") if "body" in dom.tag else 0
+        top = list(range(n))  # the outermost on ties
+        for i in range(n - 1, 0, -1):
+            if self.sums[top[i]] > self.sums[top[parent[i]]]:
+                top[parent[i]] = top[i]
+        path = [top[body] if self.chars[body] else top[0]]
+        while path[-1] not in (body, 0):
+            path.append(parent[path[-1]])
+        return path, min(self.density[i] for i in path), top
+
+
+def main_text(source: str | None, densities: type[Densities] = Densities) -> str:
+    """The main text of one page; empty if there is none. densities: how elements are weighed."""
     if not source:
         return ""
     dom = Dom(source)
     tag, parent, n = dom.tag, dom.parent, len(dom.tag)
-    gone, article = _cut(dom)
     flow = [(i, html.unescape(t) if "&" in t else t) for i, t in dom.flow]
-    if not any(i >= 0 and not gone[i] and t.strip() for i, t in flow):
-        gone, article = _cut(dom, False)  # all text was cut, so density alone decides
-    linked, within = [False] * n, list(article)
-    for i in range(1, n):
-        within[i] = within[i] or within[parent[i]]
-        linked[i] = linked[parent[i]] or tag[i] == "a"
-    chars, links, tags, link_tags = [0] * n, [0] * n, [0] * n, [0] * n
-    all_chars = all_links = 0
-    for i, t in flow:
-        if i >= 0 and tag[i] not in CUT:
-            c = len("".join(t.split()))
-            all_chars += c
-            all_links += c * linked[i]
-            if not gone[i]:
-                chars[i] += c
-                links[i] += c * linked[i]
-    for i in range(n - 1, 0, -1):
-        if not gone[i]:
-            p = parent[i]
-            chars[p] += chars[i]
-            links[p] += links[i]
-            tags[p] += tags[i] + 1
-            link_tags[p] += link_tags[i] + (tag[i] == "a")
-    if not chars[0]:
+    # Density chooses on the page with its menus and boxes; only what is no article text whatever its density is cut before.
+    bare, _, article = _cut(dom, False)
+    weights = densities(dom, flow, bare)
+    if not weights.chars[0]:
         return ""
-    share = all_links / all_chars
-    density = [0.0] * n
-    for i in range(n):
-        if chars[i]:
-            c, lc, t, lt = chars[i], max(1, links[i]), max(1, tags[i]), max(1, link_tags[i])
-            # The logarithm's base: near 1 without any link, so its own logarithm is held at 0.1.
-            base = math.log(math.log(c / max(1, c - lc) * lc + share * c + math.e))
-            density[i] = c / t * math.log(max(1.0, c / lc * t / lt)) / max(base, 0.1)
-    sums = [0.0] * n
-    for i in range(1, n):
-        sums[parent[i]] += density[i]
-    body = tag.index("body") if "body" in tag else 0
-    top = list(range(n))  # the largest-sum element of each subtree, the outermost on ties
-    for i in range(n - 1, 0, -1):
-        if sums[top[i]] > sums[top[parent[i]]]:
-            top[parent[i]] = top[i]
-    core = top[body] if chars[body] else top[0]
-    path = [core]
-    while path[-1] not in (body, 0):
-        path.append(parent[path[-1]])
-    threshold = min(density[i] for i in path)
+    path, threshold, top = weights.select(dom)
+    gone = _cut(dom)[0]
+    home = next((i for i in path if article[i]), None)
+    if home is None and (gone[path[0]] or not any(article)):
+        # The core is a box, or nothing marks an article: density again without the boxes, unless nothing is left.
+        weights = densities(dom, flow, gone)
+        if not weights.chars[0]:
+            gone, weights = bare, densities(dom, flow, bare)
+        path, threshold, top = weights.select(dom)
+        home = next((i for i in path if article[i]), None)
     content = [False] * n
-    home = [i for i in path if article[i]]
-    if home:
-        content[home[0]] = True
+    if home is not None:
+        content[home] = True  # a whole article, with its headings, which are sparse
     else:
-        content[core] = True
+        content[path[0]] = True
         for i in range(n):
-            if density[i] >= threshold and chars[i]:
+            if weights.density[i] >= threshold and weights.chars[i]:
                 content[top[i]] = True
+    within = list(article)
     for i in range(1, n):
+        within[i] = within[i] or within[parent[i]]
         # Outside an article a list of nothing but links is a menu; in one it may be its sources.
-        menu = not within[i] and tag[i] in ("ul", "ol") and link_tags[i] >= 3 and links[i] == chars[i]
+        menu = not within[i] and tag[i] in ("ul", "ol") and weights.link_tags[i] >= 3 and weights.links[i] == weights.chars[i]
         content[i] = (content[i] or content[parent[i]]) and not gone[i] and not menu
     out = []
     for i, t in flow:
