@@ -1,6 +1,8 @@
 """Language ID: held-out accuracy, rejected rows, and what each piece of evidence does."""
 
-from waybill.llm.lang_id import fit, identify_languages, keep_identified
+import numpy as np
+
+from waybill.llm.lang_id import DECLARED_TRUST, HOST_WEIGHT, SUFFIX_TRUST, SUFFIXES, TEMPER, UND, fit, grams, identify_languages, identify_pages, keep_identified
 
 WORDS = {
     "en": "the of and to in that was with for this have not they from which would there their been more when who will other than".split(),
@@ -65,3 +67,56 @@ def test_rare_languages_are_modelled(spark):
     rows = [(k, text("en", k), "en") for k in range(3000)] + [(5000 + k, text("fr", k), "fr") for k in range(8)] + [(6000 + k, text("de", k), "de") for k in range(4)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     assert fit(docs, sample=50)[0] == ["en", "fr"]
+
+
+def page(body, lang="", attrs=""):
+    return f'<!DOCTYPE html><html{attrs}{lang and f" lang={lang}"}><head><title>x</title></head><body><nav><a href="/">the menu of the site</a></nav><article><p>{body}</p></article></body></html>'
+
+
+def test_pages(spark):
+    """Each piece of evidence decides a page whose text fits two languages equally well."""
+    mixed = text("de", 1, 2) + " " + text("fr", 1, 2)
+    rows = [(1, "http://a.example.org/1", page(mixed, '"de-AT"')), (2, "http://b.example.org/1", page(mixed, "fr", ' class="x"')), (3, "http://c.example.de/1", page(mixed)), (4, "http://d.example.fr:8080/1?x", page(mixed))]
+    rows += [(10 + k, f"http://news.site.example/{k}", page(text("fr", k))) for k in range(60)] + [(5, "https://news.site.example/x", page(mixed)), (6, "https://blog.site.example/x", page(mixed))]
+    rows += [(200 + k, f"http://zeit.seite.example/{k}", page(text("de", k))) for k in range(60)] + [(7, "https://zeit.seite.example/x", page(mixed)), (8, None, None), (9, "http://z.example", ""), (None, "http://z.example", page(text("en", 4))), (1, "http://a.example.org/1", page(mixed, '"de-AT"'))]
+    pages = spark.createDataFrame([(*r, "clash") for r in rows], "page_id long, url string, html string, language string")
+    out = identify_pages(pages, train(spark)).collect()
+    got = {r.page_id: r for r in out}
+    assert len(out) == len(rows) and [got[k].language for k in (1, 2, 3, 4, 5, 6, 7, 8, 9, None)] == ["de", "fr", "de", "fr", "fr", "fr", "de", "und", "und", "en"]
+    again = {r.page_id: r for r in identify_pages(pages, train(spark), max_broadcast=0).collect()}
+    assert {k: r.language for k, r in again.items()} == {k: r.language for k, r in got.items()}
+    assert identify_pages(pages.limit(0), train(spark)).collect() == []
+
+
+def test_fusion_against_plain_python(spark):
+    """Posteriors from the same likelihoods: evidence times smoothed host, parent and overall shares."""
+    import math
+
+    model = train(spark)
+    hosts = ["a.one.example", "b.one.example", "c.two.de", None]
+    rows = [(k, text("de", k, 2 + k % 3) + " " + text("fr", k, 3), ["de", None, "fr-CA", "xx"][k // 4 % 4], hosts[k % 4], 1) for k in range(40)]
+    got, _, _ = run(spark, rows)
+    names = [*model[0], UND]
+    n = len(names)
+
+    def told(value, trust):
+        return [0.0] * n if value not in names[:-1] else [math.log(trust if x == value else (1 - trust) / (n - 1)) for x in names]
+
+    logs, soft = {}, lambda v: [math.exp(x - max(v)) / sum(math.exp(y - max(v)) for y in v) for x in v]
+    for i, t, declared, host, _ in rows:
+        h = grams(np.frombuffer(t.encode(), np.uint8))[: len(t.encode()) - 3]
+        sums = model[1][h].astype(float).sum(axis=0)
+        lik = TEMPER * (sums - sums[-1])
+        suffix = SUFFIXES.get(host.split(".")[-1]) if host else None
+        logs[i] = [a + b + c for a, b, c in zip(lik, told(declared and declared.split("-")[0], DECLARED_TRUST), told(suffix, SUFFIX_TRUST))]
+    p = {i: soft(v) for i, v in logs.items()}
+    add = lambda keep: [sum(p[r[0]][k] for r in rows if r[3] and keep(r[3])) for k in range(n)]
+    smooth = lambda c, above: [(x + HOST_WEIGHT * y) / (sum(c) + HOST_WEIGHT) for x, y in zip(c, above)]
+    base = smooth(add(lambda h: True), [1 / n] * n)
+    for i, _, _, host, _ in rows:
+        prior = base
+        if host:
+            parent = ".".join(host.split(".")[-2:])
+            prior = smooth(add(lambda h: h == host), smooth(add(lambda h: h.endswith(parent)), base))
+        post = soft([a + math.log(b) for a, b in zip(logs[i], prior)])
+        assert got[i].language == names[post.index(max(post))] and abs(got[i].confidence - max(post)) < 1e-6

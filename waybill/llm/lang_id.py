@@ -17,7 +17,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._common import cut, few, python_ready, table, text_or_empty
+from ._common import cut, few, join_groups, python_ready, table, text_or_empty
+from .html_extract import extract_main_text
 from ._repeats import bytes_of, loads, mix, padded
 
 UND = "und"
@@ -128,7 +129,7 @@ def _host(url: Column) -> Column:
     return F.nullif(F.regexp_replace(F.regexp_replace(bare, r"[/?#].*$", ""), r"^.*@|:\d*$", ""), F.lit(""))
 
 
-def identify_languages(docs: DataFrame, model: tuple[list[str], np.ndarray], id_col: str = "doc_id", text_col: str = "text", declared_col: str | None = "lang", address_col: str | None = "source", least: float = 0.5) -> DataFrame:
+def identify_languages(docs: DataFrame, model: tuple[list[str], np.ndarray], id_col: str = "doc_id", text_col: str = "text", declared_col: str | None = "lang", address_col: str | None = "source", least: float = 0.5, max_broadcast: int = MAX_BROADCAST) -> DataFrame:
     """id, text_hash, language, confidence, kept of every row.
 
     ``address_col`` holds an address or a host; ``declared_col`` a declared
@@ -136,8 +137,10 @@ def identify_languages(docs: DataFrame, model: tuple[list[str], np.ndarray], id_
     if its language is ``und`` or the confidence is under ``least``. Null and
     empty texts and those of under 4 bytes, which have no 4-gram, are ``und`` with
     confidence 0, whatever declaration, address and host say. Null declarations, addresses
-    and hosts tell nothing. Repeated rows each get a result. An empty table gives
-    an empty result. Other columns are not read.
+    and hosts tell nothing. Of languages equally probable the first by name is
+    taken, ``und`` last. Repeated rows each get a result. An empty table gives an
+    empty result. Other columns are not read. text_hash is the text's SHA-256.
+    ``declared_col`` must not be the label that the model was fitted on.
     """
     languages, logs = model
     names = [*languages, UND]
@@ -147,9 +150,9 @@ def identify_languages(docs: DataFrame, model: tuple[list[str], np.ndarray], id_
     text = text_or_empty(text_col)
     declared = F.lower(F.substring_index(F.substring_index(F.trim(F.col(declared_col).cast("string")), "-", 1), "_", 1)) if declared_col else F.lit(None).cast("string")
     host = _host(F.col(address_col).cast("string")) if address_col else F.lit(None).cast("string")
-    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("hash"), declared.alias("declared"), host.alias("host"), text.alias("text"))
+    rows = docs.select(F.col(id_col).alias("id"), F.unhex(F.sha2(text, 256)).alias("hash"), declared.alias("declared"), host.alias("host"), text.alias("text"))
     kind = dict(rows.dtypes)["id"]
-    scored = cut(rows.mapInArrow(_likelihoods(spark.sparkContext.broadcast(logs)), f"id {kind}, hash long, declared string, host string, lik array<double>"))
+    scored = cut(rows.mapInArrow(_likelihoods(spark.sparkContext.broadcast(logs)), f"id {kind}, hash binary, declared string, host string, lik array<double>"))
     suffix = F.substring_index("host", ".", -1)
     suggests = F.create_map(*[F.lit(x) for kv in SUFFIXES.items() for x in kv])
     told = [_told(F.col("declared"), names, DECLARED_TRUST), _told(F.when(F.contains("host", F.lit(".")), suggests[suffix]), names, SUFFIX_TRUST)]
@@ -157,15 +160,17 @@ def identify_languages(docs: DataFrame, model: tuple[list[str], np.ndarray], id_
     own = scored.withColumns({"log": reduce(add, told, F.col("lik")), "parent": F.substring_index("host", ".", -2)})
     own = own.withColumn("p", _softmax(F.col("log"), n))
     # Level by level: sums of probabilities, combined before the shuffle.
-    hosts = own.filter("host is not null").groupBy("host", "parent").agg(*[F.sum(F.col("p")[k]).alias(f"c{k}") for k in range(n)])
+    hosts = cut(own.filter("host is not null").groupBy("host", "parent").agg(F.count("*").alias("_rows"), *[F.sum(F.col("p")[k]).alias(f"c{k}") for k in range(n)]))
     parents = hosts.groupBy("parent").agg(*[F.sum(f"c{k}").alias(f"d{k}") for k in range(n)])
     whole = parents.agg(*[F.sum(f"d{k}").alias(f"w{k}") for k in range(n)]).first()
     total = [float(x or 0.0) for x in whole]
     base = [(x + HOST_WEIGHT / n) / (sum(total) + HOST_WEIGHT) for x in total]
     share = lambda c, above: [(F.col(f"{c}{k}") + HOST_WEIGHT * above[k]) / (reduce(lambda a, b: a + b, [F.col(f"{c}{j}") for j in range(n)]) + HOST_WEIGHT) for k in range(n)]
     up = parents.select(F.col("parent").alias("_parent"), F.array(*share("d", [F.lit(x) for x in base])).alias("q"))
-    prior = hosts.join(up, F.col("parent") == F.col("_parent")).select(F.col("host").alias("_host"), F.array(*share("c", [F.col("q")[k] for k in range(n)])).alias("prior"))
-    fused = own.join(cut(prior), F.col("host") == F.col("_host"), "left")
+    up = cut(up.join(hosts.groupBy(F.col("parent").alias("_p")).agg(F.count("*").alias("_hosts")), F.col("_parent") == F.col("_p")).select(F.col("_parent").alias("parent"), "q", "_hosts"))
+    prior = join_groups(hosts, up, "parent", "_hosts", F.col("host"), max_broadcast).select("host", "_rows", F.array(*share("c", [F.col("q")[k] for k in range(n)])).alias("prior"))
+    # Rows of a frequent host, and those without one, stay where they are.
+    fused = join_groups(own.drop("parent"), cut(prior), "host", "_rows", F.hex("hash"), max_broadcast)
     logp = F.transform(F.coalesce("prior", F.array(*[F.lit(x) for x in base])), lambda x: F.log(x))
     post = fused.select("id", "hash", "lik", _softmax(add(F.col("log"), logp), n).alias("post"))
     bare = F.forall("lik", lambda x: x == 0)  # no gram at all
@@ -179,12 +184,25 @@ def keep_identified(docs: DataFrame, decisions: DataFrame, id_col: str = "doc_id
     """``docs`` without the rows that were rejected. The rejected ids are broadcast only if they are at most ``max_broadcast``."""
     gone = cut(decisions.filter("not kept").select(F.col(id_col).alias("__wb_id"), F.col("text_hash").alias("__wb_hash")).distinct())
     gone = F.broadcast(gone) if few(gone, max_broadcast) else gone
-    return docs.join(gone, F.col(id_col).eqNullSafe(F.col("__wb_id")) & (F.xxhash64(text_or_empty(text_col)) == F.col("__wb_hash")), "left_anti")
+    return docs.join(gone, F.col(id_col).eqNullSafe(F.col("__wb_id")) & (F.unhex(F.sha2(text_or_empty(text_col), 256)) == F.col("__wb_hash")), "left_anti")
+
+
+def declared_markup(html: Column) -> Column:
+    """The language that a page's markup declares: ``lang`` of its html element, else its content-language."""
+    own = F.regexp_extract(html, r"""(?is)<html\b[^>]*?\blang\s*=\s*["']?\s*([a-z]{2,3})\b""", 1)
+    meta = F.regexp_extract(html, r"""(?is)<meta\b[^>]*?http-equiv\s*=\s*["']?content-language["']?[^>]*?\bcontent\s*=\s*["']?\s*([a-z]{2,3})\b""", 1)
+    return F.coalesce(F.nullif(own, F.lit("")), F.nullif(meta, F.lit("")))
+
+
+def identify_pages(pages: DataFrame, model: tuple[list[str], np.ndarray], **options) -> DataFrame:
+    """page_id, text_hash, language, confidence, kept of every page, from its main text, declared language, address and host."""
+    texts = extract_main_text(pages.select("page_id", "url", "html", declared_markup(F.col("html")).alias("declared")))
+    return identify_languages(texts, model, "page_id", "text", "declared", "url", **options)
 
 
 def op1_lang_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    return identify_languages(docs, fit(docs)).drop("text_hash")
+    pages = table(spark, sf_dir, "pages")
+    return identify_pages(pages, fit(table(spark, sf_dir, "documents"))).drop("text_hash")
 
 
 QUERIES = {"op1_lang_id": op1_lang_id}
