@@ -4,6 +4,8 @@ import hashlib
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from waybill.llm._repeats import Plan, remove_repeats
@@ -80,14 +82,58 @@ def test_hot_minimisers_and_pieces(spark, monkeypatch, kind, classes):
     passage = " ".join(f"p{k}" for k in range(80))
     rows = [(k, " ".join(f"w{r.randrange(999)}" for _ in range(20)) + " " + passage + " " + " ".join(f"w{r.randrange(999)}" for _ in range(20))) for k in range(60)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    spans = m._spans
-    monkeypatch.setattr(m, "_spans", lambda plan, c: spans(plan, c, piece=2000))
     plan = Plan(kind, 50, 8 if kind == "words" else 20)
-    got = [(x[0], x[1], x[2], x[3], hashlib.sha256(bytes(x[4])).hexdigest()) for x in remove_repeats(docs, plan, classes, "doc_id", "text").collect()]
+    got = [(x[0], x[1], x[2], x[3], hashlib.sha256(bytes(x[4])).hexdigest()) for x in remove_repeats(docs, plan, classes, "doc_id", "text", piece=2000).collect()]
     of, join = (words, lambda k: " ".join(k).encode()) if kind == "words" else (lambda t: t.encode(), bytes)
     assert flat(got) == flat([(i, n, g, s, hashlib.sha256(join(k)).hexdigest()) for i, n, g, s, k in brute(rows, of, 50)])
 
 
+def test_long_texts_over_several_slices(spark):
+    r = random.Random(9)
+    long = [f"w{r.randrange(30000)}" for _ in range(70_000)]
+    rows = [(2, " ".join(long)), (5, "before it " + " ".join(long[100:69_500]) + " and after"), (3, " ".join(long[65_500:65_560])), (9, "x" * 70_000 + "y" * 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [tuple(x) for x in substring_dedup(docs).collect()]
+    assert flat(got) == flat([(i, n, g, s, " ".join(k)) for i, n, g, s, k in brute(rows, words, 50)])
+    got = [(x[0], x[1], x[2], x[3], bytes(x[4])) for x in suffix_dedup(docs).collect()]
+    assert flat(got) == flat([(i, n, g, s, bytes(k)) for i, n, g, s, k in brute(rows, lambda t: t.encode(), 50)])
+
+
+@pytest.mark.parametrize("bits", [3, 64])
+def test_large_groups_with_collisions(monkeypatch, bits):
+    """Keys over a piece, by windows; with hashes of few bits most contents collide and only their bytes tell them apart."""
+    import waybill.llm._repeats as m
+
+    of = m.Prefix.of
+    monkeypatch.setattr(m.Prefix, "of", lambda self, a, b: of(self, a, b) & np.uint64((1 << bits) - 1))
+    r = random.Random(2)
+    plan, rows = Plan("words", 10, 4), []
+    for k in range(300):
+        w = [f"a{r.randrange(4)}" for _ in range(4)] + ["m", "n", "o", "p"] + [f"b{r.randrange(3)}" for _ in range(8)]
+        rows.append((7 if k < 200 else 8, k % 5, k, r.randrange(150), r.randrange(50), 4, " ".join(w).encode()))
+    rows.sort(key=lambda x: (x[0], x[3]))
+    names = ["key", "chunk", "rid", "id", "at", "anchor", "seg"]
+    schema = pa.schema([("key", pa.int64()), ("chunk", pa.int32()), ("rid", pa.int64()), ("id", pa.int64()), ("at", pa.int32()), ("anchor", pa.int32()), ("seg", pa.binary())])
+    batches = pa.Table.from_pylist([dict(zip(names, x)) for x in rows], schema=schema).to_batches(max_chunksize=37)
+    out = list(m._spans(plan, sorted_windows, piece=4000)(batches))
+    cut = pa.Table.from_batches([b.cast(schema) for b in m._windows(plan, sorted_windows, piece=4000)(batches)]).sort_by([("key", "ascending"), ("id", "ascending")])
+    assert cut.num_rows
+    out += m._spans(plan, sorted_windows, True, piece=300)(cut.to_batches(max_chunksize=41))
+    got = set()
+    for b in out:
+        for x in b.to_pylist():
+            got |= {(x["rid"], k) for k in range(x["s"], x["e"] - plan.window + 1)}
+    least, want = {}, set()
+    for key, _, _, i, _, _, seg in rows:
+        w = seg.split()
+        for k in range(len(w) - 9):
+            least[key, tuple(w[k : k + 10])] = min(least.get((key, tuple(w[k : k + 10])), i), i)
+    for key, _, rid, i, at, _, seg in rows:
+        w = seg.split()
+        want |= {(rid, at + k) for k in range(len(w) - 9) if least[key, tuple(w[k : k + 10])] < i}
+    assert got == want
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert substring_dedup(docs).collect() == [] and suffix_dedup(docs).collect() == []

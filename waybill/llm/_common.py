@@ -21,14 +21,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    One is set here only where the session has none, as in tests.
+    One is set here only where the session has none and runs in one process, as in tests.
     """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="waybill-ckpt-"))
+        folder = context.getConf().get("spark.checkpoint.dir")
+        if not folder and not context.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="waybill-ckpt-"))
     return context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
 
 
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete a folder of the shared store."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage with a checkpoint in the shared folder."""
     shared_folder(df.sparkSession)

@@ -15,7 +15,11 @@ The chunks' exchange of texts is one exchange in the plan, read by each step.
 A packed string that several documents of a chunk share is sent for the
 smallest only; the others' spans are known at once. Frequent minimisers (common
 lines, say) are dealt by a second hash of the window as well, its grams half a
-window to the right or left, so that different contexts part.
+window to the right or left, so that different contexts part. A group that still
+holds over ``PIECE`` bytes (a passage in very many documents) isn't searched as a
+whole: its strings are cut into windows, those that repeat within a piece are
+settled there, and the others are dealt by their own hash, where only equal
+windows meet.
 """
 
 from __future__ import annotations
@@ -39,6 +43,8 @@ POS_MASK = np.uint64((1 << 24) - 1)
 SLICE = 1 << 16
 #: A minimiser in at least so many documents is dealt by its context as well. Results don't depend on it.
 HOT = 1000
+#: Bytes of packed strings searched at once; a larger group is dealt window by window. Results don't depend on it.
+PIECE = 1 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -252,12 +258,24 @@ class Words(Units):
         return x
 
 
+def _rows_of(rid: np.ndarray, ids: np.ndarray, target: np.ndarray, target_id: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, entry) for every row with the hash and id of an entry; hashes alone could collide."""
+    order = np.argsort(rid, kind="stable")
+    lo, hi = np.searchsorted(rid[order], target, "left"), np.searchsorted(rid[order], target, "right")
+    of = np.repeat(np.arange(len(target)), hi - lo)
+    row = order[lo[of] + np.arange(len(of)) - np.repeat(np.cumsum(hi - lo) - (hi - lo), hi - lo)]
+    same = ids[row] == target_id[of]
+    return row[same], of[same]
+
+
 def _take(left: pa.Table, right: pa.Table, plan: Plan, copies_too: bool = False):
     """A chunk's rows that are searched, as (units, rows' rid, rows' id)."""
     rid = numbers(left.column("rid"))
     if not copies_too:
         flags = right.filter(pa.compute.is_valid(right.column("rid"))) if right.num_rows else right
-        keep = ~np.isin(rid, numbers(flags.column("rid"))) & numbers(left.column("has_id"))
+        row, _ = _rows_of(rid, numbers(left.column("id")), numbers(flags.column("rid")), numbers(flags.column("id")))
+        keep = numbers(left.column("has_id")).astype(bool)
+        keep[row] = False
         left = left.filter(pa.array(keep))
         rid = rid[keep]
     data, offsets = bytes_of(left.column("text"))
@@ -265,9 +283,9 @@ def _take(left: pa.Table, right: pa.Table, plan: Plan, copies_too: bool = False)
 
 
 ANCHORS = "chunk int, bucket int, h binary, f binary"
-BACK = "chunk int, rid long, h binary"
+BACK = "chunk int, rid long, id long, h binary"
 SEGMENTS = "key long, chunk int, rid long, id long, at int, anchor int, seg binary"
-SPANS = "chunk int, rid long, s int, e int"
+SPANS = "chunk int, rid long, id long, s int, e int"
 
 
 def _anchors(plan: Plan, buckets: int):
@@ -312,7 +330,7 @@ def _repeated(buckets: int, hot_from: int):
         order = np.argsort(chunk, kind="stable")
         full, chunk = full[order], chunk[order]
         own, at = np.unique(chunk, return_index=True)
-        return pa.table({"chunk": pa.array(own.astype(np.int32)), "rid": pa.nulls(len(own), pa.int64()), "h": binaries([full[x:y] for x, y in zip(at, np.append(at[1:], len(full)))])})
+        return pa.table({"chunk": pa.array(own.astype(np.int32)), "rid": pa.nulls(len(own), pa.int64()), "id": pa.nulls(len(own), pa.int64()), "h": binaries([full[x:y] for x, y in zip(at, np.append(at[1:], len(full)))])})
 
     return run
 
@@ -414,71 +432,147 @@ def unpack(table: pa.Table, plan: Plan) -> Windows:
     return Windows(padded([data]), start, end, row, place, key[row], anchor[row] - place)
 
 
-def _spans(plan: Plan, classes, piece: int = 1 << 20):
-    """Step 3: rows come in order of key and id. classes(windows) numbers windows by content; equal ones get equal numbers.
+def _groups(batches, piece: int):
+    """Rows come in order of key: (table of whole keys of at most ``piece`` bytes each, None), or (part of a larger key, key).
 
-    A key's rows are kept together up to ``piece`` bytes; of a longer group, later
-    pieces see the windows of earlier ones (their ids are not larger) by two
-    hashes and the smallest id.
+    Whether a key is large depends on its rows alone, not on how they come in batches.
+    """
+    held: list[pa.RecordBatch] = []
+    size, large = 0, None
+
+    def settled(table: pa.Table):
+        keys = numbers(table.column("key"))
+        start = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        rows = np.diff(np.append(start, len(keys)))
+        over = np.add.reduceat(pa.compute.binary_length(table.column("seg")).to_numpy().astype(np.int64), start) > piece
+        small = np.repeat(~over, rows)
+        if small.any():
+            yield table if small.all() else table.filter(pa.array(small)), None
+        for k in np.flatnonzero(over):
+            yield table.slice(start[k], rows[k]), keys[start[k]]
+
+    for batch in batches:
+        for k in range(0, batch.num_rows, 2048):
+            part = batch.slice(k, 2048)
+            if large is not None:
+                own = int(np.searchsorted(numbers(part.column("key")), large, "right"))
+                if own:
+                    yield pa.Table.from_batches([part.slice(0, own)]), large
+                if own == part.num_rows:
+                    continue
+                part, large = part.slice(own), None
+            held.append(part)
+            size += part.column("seg").nbytes
+            if size < piece:
+                continue
+            table = pa.Table.from_batches(held)
+            keys = numbers(table.column("key"))
+            cut = int(np.searchsorted(keys, keys[-1]))
+            if cut:
+                yield from settled(table.slice(0, cut))
+            table = table.slice(cut)
+            if pa.compute.sum(pa.compute.binary_length(table.column("seg"))).as_py() > piece:
+                large = keys[-1]
+                yield table, large
+                held, size = [], 0
+            else:
+                held, size = table.to_batches(), table.column("seg").nbytes
+    if held and (table := pa.Table.from_batches(held)).num_rows:
+        yield from settled(table)
+
+
+def _valid(batches):
+    for batch in batches:
+        yield batch.filter(pa.compute.is_valid(batch.column("seg")))
+
+
+def _least(table: pa.Table, plan: Plan, classes) -> tuple[Windows, np.ndarray, np.ndarray]:
+    """The windows of packed strings, their documents, and the smallest document of each one's content in the table."""
+    w = unpack(table, plan)
+    ids = numbers(table.column("id"))[w.row]
+    number, order, starts = classes(w)
+    least = np.minimum.reduceat(ids[order], starts) if len(order) else ids
+    return w, ids, least[number]
+
+
+def _runs(w: Windows, gone: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first window, windows) of the runs of consecutive windows that go."""
+    edge = np.ones(len(gone) + 1, dtype=bool)
+    edge[1:-1] = (gone[1:] != gone[:-1]) | (w.row[1:] != w.row[:-1])
+    at = np.flatnonzero(edge)
+    size = np.diff(at)
+    at = at[:-1]
+    return at[gone[at]], size[gone[at]]
+
+
+def _spans(plan: Plan, classes, windows: bool = False, piece: int = PIECE):
+    """Step 3: rows come in order of key and id. classes(windows) numbers windows by content, verified by bytes.
+
+    A key over ``piece`` bytes is left to _windows(), unless rows are single
+    ``windows`` already: then a key's rows are equal, but for collisions of the
+    hash, and come with the smallest id first, so one string of each content is kept.
     """
 
-    def flush(table: pa.Table, seen: dict, more: bool) -> tuple[pa.RecordBatch, dict]:
-        w = unpack(table, plan)
-        ids = numbers(table.column("id"))[w.row]
-        number, order, starts = classes(w)
-        least = np.minimum.reduceat(ids[order], starts) if len(order) else ids
-        low = least[number]
-        if seen or more:
-            pre = Prefix(w.buf)
-            last = numbers(table.column("key"))[-1]
-            one, two = mix(pre.of(w.start, w.end)), pre.of(w.start, (w.start + w.end) // 2) ^ (w.end - w.start).astype(np.uint64)
-            inside = np.flatnonzero(w.key == seen["key"]) if seen else np.zeros(0, np.int64)
-            if len(inside):
-                at = np.minimum(np.searchsorted(seen["one"], one[inside]), len(seen["one"]) - 1)
-                hit = (seen["one"][at] == one[inside]) & (seen["two"][at] == two[inside])
-                low[inside[hit]] = np.minimum(low[inside[hit]], seen["ids"][at[hit]])
-            own = np.flatnonzero(w.key == last)
-            past = seen if seen and seen["key"] == last else {"one": one[:0], "two": two[:0], "ids": low[:0]}
-            x, y, i = np.concatenate([past["one"], one[own]]), np.concatenate([past["two"], two[own]]), np.concatenate([past["ids"], low[own]])
-            by = np.lexsort((i, y, x))
-            x, y, i = x[by], y[by], i[by]
-            first = np.append(True, (x[1:] != x[:-1]) | (y[1:] != y[:-1]))
-            seen = {"key": last, "one": x[first], "two": y[first], "ids": i[first]} if more else {}
-        gone = ids > low
-        edge = np.ones(len(gone) + 1, dtype=bool)
-        edge[1:-1] = (gone[1:] != gone[:-1]) | (w.row[1:] != w.row[:-1])
-        at = np.flatnonzero(edge)
-        size = np.diff(at)
-        at = at[:-1]
-        at, size = at[gone[at]], size[gone[at]]
-        row, place = w.row[at], w.place[at]
-        s = numbers(table.column("at"))[row] + place
-        out = pa.record_batch({"chunk": numbers(table.column("chunk"))[row].astype(np.int32), "rid": numbers(table.column("rid"))[row], "s": s.astype(np.int32), "e": (s + size + plan.window - 1).astype(np.int32)})
-        return out, seen
+    def flush(table: pa.Table) -> pa.RecordBatch:
+        w, ids, low = _least(table, plan, classes)
+        at, size = _runs(w, ids > low)
+        row = w.row[at]
+        s = numbers(table.column("at"))[row] + w.place[at]
+        return pa.record_batch({"chunk": numbers(table.column("chunk"))[row].astype(np.int32), "rid": numbers(table.column("rid"))[row], "id": numbers(table.column("id"))[row], "s": s.astype(np.int32), "e": (s + size + plan.window - 1).astype(np.int32)})
 
     def run(batches):
-        held, size, seen = [], 0, {}
-        for batch in batches:
-            known = batch.filter(pa.compute.is_null(batch.column("seg")))
-            yield pa.RecordBatch.from_arrays([known.column(c) for c in ("chunk", "rid", "at", "anchor")], names=["chunk", "rid", "s", "e"])
-            batch = batch.filter(pa.compute.is_valid(batch.column("seg")))
-            for k in range(0, batch.num_rows, 2048):
-                part = batch.slice(k, 2048)
-                held.append(part)
-                size += part.column("seg").nbytes
-                if size < piece:
-                    continue
-                table = pa.Table.from_batches(held)
-                keys = numbers(table.column("key"))
-                cut = int(np.searchsorted(keys, keys[-1]))  # rows come in order of key
-                more = cut == 0 or table.slice(cut).nbytes > piece
-                cut = table.num_rows if more else cut
-                out, seen = flush(table.slice(0, cut), seen, more)
-                yield out
-                rest = table.slice(cut)
-                held, size = rest.to_batches(), rest.column("seg").nbytes if rest.num_rows else 0
-        if held and (table := pa.Table.from_batches(held)).num_rows:
-            yield flush(table, seen, False)[0]
+        def searched():
+            for batch in batches:
+                known.append(batch.filter(pa.compute.is_null(batch.column("seg"))))
+                yield batch.filter(pa.compute.is_valid(batch.column("seg")))
+
+        known: list[pa.RecordBatch] = []
+        key, seen = None, {}
+        for table, large in _groups(searched(), piece):
+            if large is None:
+                yield flush(table)
+            elif windows:
+                if large != key:
+                    key, seen = large, {}
+                ids = numbers(table.column("id"))
+                low = np.array([seen.setdefault(x, i) for x, i in zip(table.column("seg").to_pylist(), ids.tolist())], dtype=np.int64)
+                gone = table.filter(pa.array(ids > low))
+                s = numbers(gone.column("at"))
+                yield pa.record_batch({"chunk": numbers(gone.column("chunk")), "rid": numbers(gone.column("rid")), "id": numbers(gone.column("id")), "s": s, "e": (s + plan.window).astype(np.int32)})
+            while known:
+                yield _known(known.pop())
+        while known:
+            yield _known(known.pop())
+
+    return run
+
+
+def _known(rows: pa.RecordBatch) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([rows.column(c) for c in ("chunk", "rid", "id", "at", "anchor")], names=["chunk", "rid", "id", "s", "e"])
+
+
+def _windows(plan: Plan, classes, piece: int = PIECE):
+    """Step 3: the windows of keys over ``piece`` bytes, keyed by their own hash.
+
+    Of windows that repeat within a piece only the smallest document's go on; the
+    others' spans are known.
+    """
+
+    def run(batches):
+        for table, large in _groups(_valid(batches), piece):
+            if large is None:
+                continue
+            for part in [table.slice(k, 4096) for k in range(0, table.num_rows, 4096)]:
+                w, ids, low = _least(part, plan, classes)
+                chunk, rid, own, place = (numbers(part.column(c)) for c in ("chunk", "rid", "id", "at"))
+                at, n = _runs(w, ids > low)
+                row = w.row[at]
+                s = (place[row] + w.place[at]).astype(np.int32)
+                yield pa.record_batch({"key": rid[row], "chunk": chunk[row], "rid": rid[row], "id": own[row], "at": s, "anchor": (s + n + plan.window - 1).astype(np.int32), "seg": pa.nulls(len(row), pa.binary())})
+                stay = np.flatnonzero(ids <= low)
+                row = w.row[stay]
+                key = mix(Prefix(w.buf).of(w.start[stay], w.end[stay]) + np.array([large]).view(np.uint64) * K2).view(np.int64)
+                yield pa.record_batch({"key": key, "chunk": chunk[row], "rid": rid[row], "id": own[row], "at": (place[row] + w.place[stay]).astype(np.int32), "anchor": w.offset[stay].astype(np.int32), "seg": slices(w.buf, w.start[stay], w.end[stay])})
 
     return run
 
@@ -491,11 +585,8 @@ def _cut(plan: Plan):
         first, total = units.first, int(units.first[-1])
         delta = np.zeros(total + 1, dtype=np.int32)
         if right.num_rows and left.num_rows:
-            order = np.argsort(rid, kind="stable")
-            target, s, e = numbers(right.column("rid")), numbers(right.column("s")).astype(np.int64), numbers(right.column("e")).astype(np.int64)
-            lo, hi = np.searchsorted(rid[order], target, "left"), np.searchsorted(rid[order], target, "right")
-            of = np.repeat(np.arange(len(target)), hi - lo)
-            row = order[lo[of] + np.arange(len(of)) - np.repeat(np.cumsum(hi - lo) - (hi - lo), hi - lo)]
+            s, e = numbers(right.column("s")).astype(np.int64), numbers(right.column("e")).astype(np.int64)
+            row, of = _rows_of(rid, ids, numbers(right.column("rid")), numbers(right.column("id")))
             s, e = first[row] + s[of], np.minimum(first[row] + e[of], first[row + 1])
             whole = e - s >= plan.window  # a copy's span is the whole text; one shorter than a window stays
             np.add.at(delta, s[whole], 1)
@@ -522,7 +613,7 @@ def _cut(plan: Plan):
     return run
 
 
-def remove_repeats(docs: DataFrame, plan: Plan, classes, id_col: str, text_col: str, chunk_mb: int = 4) -> DataFrame:
+def remove_repeats(docs: DataFrame, plan: Plan, classes, id_col: str, text_col: str, chunk_mb: int = 4, piece: int = PIECE) -> DataFrame:
     """id, n_units, n_removed, n_spans, kept (binary) of every row of docs."""
     spark = docs.sparkSession
     python_ready(spark)
@@ -533,7 +624,7 @@ def remove_repeats(docs: DataFrame, plan: Plan, classes, id_col: str, text_col:
     place = F.pmod("rid", F.lit(chunks)).cast("int").alias("chunk")
     narrow = rows.filter("has_id").select("id", "rid", place, F.sha2("text", 256).alias("sha"))
     groups = narrow.groupBy("sha").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("high > low")
-    copies = narrow.join(groups, "sha").filter("id > low").select("chunk", "rid").distinct()
+    copies = narrow.join(groups, "sha").filter("id > low").select("chunk", "rid", "id").distinct()
 
     dealt = rows.withColumn("chunk", place).repartition(partitions(spark), "chunk")
     by_chunk = lambda df: df.groupBy("chunk")
@@ -543,8 +634,10 @@ def remove_repeats(docs: DataFrame, plan: Plan, classes, id_col: str, text_col:
     back = anchors.groupBy("bucket").applyInArrow(_repeated(buckets, HOT), BACK)
     side = back.unionByName(copies.withColumn("h", F.lit(None).cast("binary")))
     segments = with_side(side).applyInArrow(_segments(plan), SEGMENTS)
-    spans = segments.repartition(partitions(spark), "key").sortWithinPartitions("key", "id").mapInArrow(_spans(plan, classes), SPANS)
-    whole = copies.select("chunk", "rid", F.lit(0).alias("s"), F.lit(2**31 - 1).alias("e"))
+    by_key = lambda df: df.repartition(partitions(spark), "key").sortWithinPartitions("key", "id")
+    cut = by_key(segments).mapInArrow(_windows(plan, classes, piece), SEGMENTS)
+    spans = by_key(segments).mapInArrow(_spans(plan, classes, piece=piece), SPANS).unionByName(by_key(cut).mapInArrow(_spans(plan, classes, True, piece), SPANS))
+    whole = copies.select("chunk", "rid", "id", F.lit(0).alias("s"), F.lit(2**31 - 1).alias("e"))
     out = with_side(spans.unionByName(whole)).applyInArrow(_cut(plan), "id long, has_id boolean, n_units long, n_removed long, n_spans long, kept binary")
     return out.select(F.when(F.col("has_id"), F.col("id")).alias(id_col), "n_units", "n_removed", "n_spans", "kept")
 
