@@ -563,9 +563,10 @@ NEGATIVE = " AND ".join(f"NOT regexp_matches(s, '{p}')" for p in (X.STREET_LINE,
 TOK = r"list_filter(regexp_split_to_array(s, '\s+'), lambda x: x <> '')"
 
 
-@query("looks_like_company", rf"SELECT conv_id, turn, s <> '' AND length(regexp_replace(s, '[^A-Za-z]', '', 'g')) >= 3 AND len({TOK}) <= 6 AND len(list_filter({TOK}, lambda t: length(t) <= 2)) <= 1 AND {NEGATIVE} AS ok FROM (SELECT conv_id, turn, {s_strip('regexp_extract(text, ' + chr(39) + '^(?:[^ ]* ?){0,4}' + chr(39) + ')')} AS s FROM conversations)")
+@query("looks_like_company", rf"SELECT conv_id, turn, pos, s <> '' AND length(regexp_replace(s, '[^A-Za-z]', '', 'g')) >= 3 AND len({TOK}) <= 6 AND len(list_filter({TOK}, lambda t: length(t) <= 2)) <= 1 AND {NEGATIVE} AS ok FROM (SELECT conv_id, turn, CAST(pos AS INTEGER) AS pos, {s_strip('part')} AS s FROM (SELECT conv_id, turn, unnest(parts) AS part, generate_subscripts(parts, 1) - 1 AS pos FROM (SELECT conv_id, turn, string_split_regex(text, '[.!?,\n]+') AS parts FROM conversations)))")
 def _(spark, d):
-    return view(spark, d, "conversations").select("conv_id", "turn", X.looks_like_company(F.regexp_extract("text", "^(?:[^ ]* ?){0,4}", 0), OWN_NAME).alias("ok"))
+    parts = view(spark, d, "conversations").select("conv_id", "turn", F.posexplode(F.split("text", "[.!?,\\n]+")).alias("pos", "part"))
+    return parts.select("conv_id", "turn", "pos", X.looks_like_company(F.col("part"), OWN_NAME).alias("ok"))
 
 
 @query("clean_lines")
