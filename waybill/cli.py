@@ -6,6 +6,7 @@ import argparse
 import sys
 
 from .operators.master import master_rows, validate
+from .operators.ocr import bol_from_words
 from .plans.run import MasterError, load_master, run_batch, session
 from .plans.vendors import VENDORS
 from .sources import sinks
@@ -24,6 +25,8 @@ def build_parser() -> argparse.ArgumentParser:
     run.add_argument("--master", required=True, help="master sheet (.csv or .xlsx)")
     run.add_argument("--pages", help="parquet of page text; otherwise PDF files of the folder are decoded")
     run.add_argument("--bol", help="parquet of bill-of-lading extractions")
+    run.add_argument("--ocr-words", help="parquet of the OCR words of bills of lading (pass page, header or roi); needs --ocr-pages")
+    run.add_argument("--ocr-pages", help="parquet of invoice_id, page_w, page_h of bills of lading")
     run.add_argument("--own-name", default="", help="the paying company's name")
     run.add_argument("--deny", action="append", default=[], help="customer name that is never billed")
     run.add_argument("--out", required=True)
@@ -42,7 +45,7 @@ def main(argv: list[str] | None = None) -> int:
     if args.command == "validate":
         try:
             rows = master_rows(_master(spark, args.master))
-            text, n_hard = sinks.validation_report(validate(rows), args.master, rows.count(), strict=True)
+            text, n_hard = sinks.validation_report(validate(rows), args.master, rows.count(), strict=True, aborted=False)
         except Exception as e:  # any unreadable sheet
             print(f"can't read {args.master}: {e}", file=sys.stderr)
             return 2
@@ -53,6 +56,12 @@ def main(argv: list[str] | None = None) -> int:
     if not (args.pages or args.invoice_dir):
         print("give --pages or a folder of invoices", file=sys.stderr)
         return 2
+    if bool(args.ocr_words) != bool(args.ocr_pages) or (args.ocr_words and args.bol):
+        print("give --ocr-words with --ocr-pages, or --bol", file=sys.stderr)
+        return 2
+    if args.ocr_words and not args.own_name:
+        print("--ocr-words needs --own-name, the lower anchor of the forms", file=sys.stderr)
+        return 2
     spec = VENDORS[args.vendor].for_payer(args.own_name)
     try:
         master = load_master(_master(spark, args.master), args.master, f"{args.out}/master_validation.txt", args.strict_master)
@@ -60,7 +69,10 @@ def main(argv: list[str] | None = None) -> int:
         print(e, file=sys.stderr)
         return 1
     pages = read_pages(spark, args.pages).filter(f"vendor = '{args.vendor}'") if args.pages else decode_pages(scan_invoices(spark, args.invoice_dir, with_content=True), args.vendor)
-    run = run_batch(pages, spark.read.parquet(args.bol) if args.bol else None, master, spec, args.deny)
+    bol = spark.read.parquet(args.bol) if args.bol else None
+    if args.ocr_words:
+        bol = bol_from_words(spark.read.parquet(args.ocr_pages), spark.read.parquet(args.ocr_words), spec.profile)
+    run = run_batch(pages, bol, master, spec, args.deny)
     print(run.report())
     if args.dry_run:
         from .operators.bills import bill_rows

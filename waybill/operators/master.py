@@ -58,62 +58,73 @@ def master_rows(cells: DataFrame, usps: bool = True) -> DataFrame:
     return rows.select("row", *CELLS, "postcode_is_numeric", F.col("_al1.name").alias("shipto_name"), F.col("_al1.number").alias("customer_number"), F.col("_al1.extra").alias("al1_extra"), F.col("_al1.recovered").alias("recovered"), F.when(keyed, parts).alias("address"))
 
 
-def _violation(rows: DataFrame, rule: str, message: Column) -> DataFrame:
-    raw = F.struct(*[F.col(c) for c in CELLS])
-    return rows.select("row", F.lit(rule).alias("rule"), F.lit(SEVERITY[rule]).alias("severity"), message.alias("message"), raw.alias("raw"))
-
-
 def _shown(c: Column) -> Column:
     return F.when(c.isNull(), "None").otherwise(F.concat(F.lit("'"), c.cast("string"), F.lit("'")))
 
 
-def check_required(rows: DataFrame) -> DataFrame:
+def _missing() -> Column:
+    """Titles of the required cells that are null or blank."""
     blank = lambda c: F.col(c).isNull() | (strip(F.col(c).cast("string")) == "")
-    missing = F.filter(F.array(*[F.when(blank(c), CELL_TITLES[c]) for c in CELLS]), lambda x: x.isNotNull())
+    return F.array_compact(F.array(*[F.when(blank(c), CELL_TITLES[c]) for c in CELLS]))
+
+
+def _with_firsts(rows: DataFrame) -> DataFrame:
+    """Adds the first row of each (name, ship-to name, address) and of each customer number.
+
+    Rows that a rule doesn't concern are dealt by row, so null keys gather nowhere.
+    """
+    rows = rows.withColumns({"_name": strip(F.coalesce(F.col("name").cast("string"), F.lit(""))), "_shipto": normalize_name(F.col("shipto_name")), "_missing": _missing()})
+    triple, number = (F.col("_name") != "") & F.col("address").isNotNull(), F.col("customer_number").isNotNull()
+    by_triple = Window.partitionBy(F.when(triple, F.struct("_name", "_shipto", "address")), F.when(~triple, F.col("row")))
+    by_number = Window.partitionBy("customer_number", F.when(~number, F.col("row")))
+    return rows.withColumn("_first_triple", F.min("row").over(by_triple)).withColumn("_first_number", F.min("row").over(by_number))
+
+
+def _rules() -> dict[str, tuple[Column, Column]]:
+    """Rule: (where a row breaks it, what is said), over the columns of _with_firsts()."""
     dump = F.concat_ws(", ", *[F.concat(F.lit(f"{CELL_TITLES[c]}="), _shown(F.col(c))) for c in CELLS])
-    rows = rows.withColumn("_missing", missing).filter(F.size("_missing") > 0)
-    return _violation(rows, REQUIRED, F.concat(F.lit("missing required field(s): ["), F.array_join(F.transform("_missing", _shown), ", "), F.lit("]; row data: "), dump))
+    return {
+        REQUIRED: (F.size("_missing") > 0, F.concat(F.lit("missing required field(s): ["), F.array_join(F.transform("_missing", _shown), ", "), F.lit("]; row data: "), dump)),
+        TRIPLE: (F.col("row") > F.col("_first_triple"), F.concat(F.lit("duplicate (Name="), _shown(F.col("_name")), F.lit(", shipto_name="), _shown(F.col("shipto_name")), F.lit(", address) — first seen at row "), F.col("_first_triple").cast("string"))),
+        NO_NUMBER: (F.col("customer_number").isNull(), F.concat(F.lit("could not extract customer number from AL1: "), _shown(F.col("al1")))),
+        DUPLICATE_NUMBER: (F.col("row") > F.col("_first_number"), F.concat(F.lit("customer number "), F.col("customer_number"), F.lit(" is also on row "), F.col("_first_number").cast("string"))),
+        MALFORMED: (F.col("recovered"), F.concat(F.lit("AL1 doesn't match canonical format but a 6-digit customer number ("), F.col("customer_number"), F.lit(") was recovered. AL1="), _shown(F.col("al1")))),
+    }
+
+
+def validate(rows: DataFrame, *only: str) -> DataFrame:
+    """All violations (or those of some rules), in one pass over the rows; order by row and rule where they are shown."""
+    rules = {r: v for r, v in _rules().items() if not only or r in only}
+    found = F.array_compact(F.array(*[F.when(broken, F.struct(F.lit(r).alias("rule"), F.lit(SEVERITY[r]).alias("severity"), said.alias("message"))) for r, (broken, said) in rules.items()]))
+    raw = F.struct(*[F.col(c) for c in CELLS])
+    return _with_firsts(rows).select("row", F.explode(found).alias("_v"), raw.alias("raw")).select("row", "_v.*", "raw")
+
+
+def check_required(rows: DataFrame) -> DataFrame:
+    return validate(rows, REQUIRED)
 
 
 def check_triple_unique(rows: DataFrame) -> DataFrame:
     """Every row but the first of each (name, ship-to name, address)."""
-    keyed = rows.withColumns({"_name": strip(F.coalesce(F.col("name").cast("string"), F.lit(""))), "_shipto": normalize_name(F.col("shipto_name"))}).filter((F.col("_name") != "") & F.col("address").isNotNull())
-    first = keyed.withColumn("_first", F.min("row").over(Window.partitionBy("_name", "_shipto", "address")))
-    message = F.concat(F.lit("duplicate (Name="), _shown(F.col("_name")), F.lit(", shipto_name="), _shown(F.col("shipto_name")), F.lit(", address) — first seen at row "), F.col("_first").cast("string"))
-    return _violation(first.filter("row > _first"), TRIPLE, message)
+    return validate(rows, TRIPLE)
 
 
 def check_no_number(rows: DataFrame) -> DataFrame:
-    return _violation(rows.filter("customer_number is null"), NO_NUMBER, F.concat(F.lit("could not extract customer number from AL1: "), _shown(F.col("al1"))))
+    return validate(rows, NO_NUMBER)
 
 
 def check_duplicate_number(rows: DataFrame) -> DataFrame:
     """Every row but the first of each number, with the row just seen first."""
-    first = rows.filter("customer_number is not null").withColumn("_first", F.min("row").over(Window.partitionBy("customer_number")))
-    message = F.concat(F.lit("customer number "), F.col("customer_number"), F.lit(" is also on row "), F.col("_first").cast("string"))
-    return _violation(first.filter("row > _first"), DUPLICATE_NUMBER, message)
+    return validate(rows, DUPLICATE_NUMBER)
 
 
 def check_malformed(rows: DataFrame) -> DataFrame:
-    message = F.concat(F.lit("AL1 doesn't match canonical format but a 6-digit customer number ("), F.col("customer_number"), F.lit(") was recovered. AL1="), _shown(F.col("al1")))
-    return _violation(rows.filter("recovered"), MALFORMED, message)
-
-
-CHECKS = {REQUIRED: check_required, TRIPLE: check_triple_unique, NO_NUMBER: check_no_number, DUPLICATE_NUMBER: check_duplicate_number, MALFORMED: check_malformed}
-
-
-def validate(rows: DataFrame) -> DataFrame:
-    """All violations; order by row and rule where they are shown."""
-    out = None
-    for check in CHECKS.values():
-        out = check(rows) if out is None else out.unionByName(check(rows))
-    return out
+    return validate(rows, MALFORMED)
 
 
 def valid_master(rows: DataFrame) -> DataFrame:
     """Entries: rows with all required fields and an address. Duplicates stay."""
-    bad = check_required(rows).select("row").distinct()
-    return rows.join(bad, "row", "left_anti").filter("address is not null").select("row", F.col("name").cast("string").alias("customer_name"), "shipto_name", "customer_number", "address")
+    return rows.filter((F.size(_missing()) == 0) & F.col("address").isNotNull()).select("row", F.col("name").cast("string").alias("customer_name"), "shipto_name", "customer_number", "address")
 
 
 def violation_counts(violations: DataFrame) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.address import normalize_address, plain_address
 from ..functions.fuzzy import partial_ratio, partial_ratio_udf, ratio, ratio_udf, token_set_ratio
 from ..functions.text import CSZ, SHIP_FROM_VARIANT, SHIP_TO_VARIANT, clean_for_usps, clean_name, is_street, line_text, line_tokens, strip, text_score
+from ..plans.shared import settled
 from ..shipping import ship
 
 
@@ -125,7 +126,13 @@ def bounds(pages: DataFrame, lines: DataFrame, header_word_rows: DataFrame, prof
     else:
         out = out.withColumn("divider_x", F.lit(None).cast("int"))
     out = out.withColumn("upper_y", F.coalesce("_u", "_h")).drop("_u", "_h").withColumn("mid_y", F.floor((F.col("upper_y") + F.col("lower_y")) / 2).cast("int"))
-    failure = F.when(F.col("upper_y").isNull() & F.col("lower_y").isNull(), "neither anchor of the SHIP TO block was matched").when(F.col("upper_y").isNull(), "the top of the SHIP TO block was not matched").when(F.col("lower_y").isNull(), "the bottom of the SHIP TO block was not matched")
+    upper_t, lower_t = repr(profile.upper_anchor), repr(profile.lower_anchor)
+    y = lambda c: F.col(c).cast("string")
+    # The texts of failures.
+    neither = F.lit(f"Could not locate the SHIP TO block on the BOL: neither the upper anchor ({upper_t}) nor the lower anchor ({lower_t}) could be matched in the page-2 OCR output.")
+    no_upper = F.concat(F.lit(f"Could not locate the top of the SHIP TO block: the upper anchor ({upper_t}) was not matched in OCR. The lower anchor ({lower_t}) was found at y="), y("lower_y"), F.lit("."))
+    no_lower = F.concat(F.lit(f"Could not locate the bottom of the SHIP TO block: the lower anchor ({lower_t}) was not matched in OCR. The upper anchor ({upper_t}) was found at y="), y("upper_y"), F.lit("."))
+    failure = F.when(F.col("upper_y").isNull() & F.col("lower_y").isNull(), neither).when(F.col("upper_y").isNull(), no_upper).when(F.col("lower_y").isNull(), no_lower)
     right = F.coalesce("divider_x", F.floor(F.col("page_w") / 2)) + tuning.roi_pad_right
     return out.withColumns({"failure": failure, "roi_x1": F.lit(0), "roi_x2": F.least(F.col("page_w"), right).cast("int"), "roi_y1": F.greatest(F.lit(0), F.col("mid_y") - tuning.roi_pad_top), "roi_y2": F.least(F.col("page_h"), F.col("lower_y") + tuning.roi_pad_bottom)})
 
@@ -276,21 +283,38 @@ def bol_ship_to(split: DataFrame, csz: DataFrame, usps: bool = True) -> DataFram
     return rows.select("invoice_id", F.lit("bol").alias("source"), F.get("_names", 0).alias("name"), F.col("_names").alias("name_candidates"), F.when(ok, parts).alias("address"), ok.alias("success"), reason.alias("failure_reason"), "raw_lines", csz_text.alias("csz_line"))
 
 
-def extract_bol(pages: DataFrame, page_lines: DataFrame, header_word_rows: DataFrame, roi_lines: DataFrame, profile: Profile = PROFILE, tuning: Tuning = TUNING, usps: bool = True) -> DataFrame:
-    """Ship-to extractions of bills of lading, with a failure where a step found nothing."""
-    at = bounds(pages, page_lines, header_word_rows, profile, tuning)
+def extract_bol(pages: DataFrame, page_lines: DataFrame, header_word_rows: DataFrame, roi_lines: DataFrame, profile: Profile = PROFILE, tuning: Tuning = TUNING, usps: bool = True, at: DataFrame | None = None) -> DataFrame:
+    """Ship-to extractions of bills of lading, with a failure where a step found nothing. ``at``: the pages' bounds() where known."""
+    at = settled(bounds(pages, page_lines, header_word_rows, profile, tuning)) if at is None else at
     good = at.filter("failure is null")
-    lines = dedupe_passes(roi_lines.join(good.select("invoice_id"), "invoice_id", "left_semi"), tuning)
+    lines = settled(dedupe_passes(roi_lines.join(good.select("invoice_id"), "invoice_id", "left_semi"), tuning))
     inside = lines.join(good.select("invoice_id", "roi_y1", "roi_y2"), "invoice_id").filter("y_top between roi_y1 and roi_y2").select(*LINE)
     csz = csz_pick(inside)
     out = bol_ship_to(split_block(walk_up(lines, csz, good, profile, tuning)), csz, usps)
     none = at.join(out.select("invoice_id"), "invoice_id", "left_anti")
-    reason = F.coalesce("failure", F.concat(F.lit("Found the SHIP TO block but no city/state/ZIP line was identified inside it (searched y=["), F.col("roi_y1").cast("string"), F.lit(", "), F.col("roi_y2").cast("string"), F.lit("])")))
+    reason = F.coalesce("failure", F.concat(F.lit("Found the SHIP TO block but no city/state/ZIP line was identified inside it (searched y=["), F.col("roi_y1").cast("string"), F.lit(", "), F.col("roi_y2").cast("string"), F.lit("]). OCR may have garbled the line, or it may sit outside the expected vertical range.")))
     types = dict(out.dtypes)
     failed = none.select("invoice_id", F.lit("bol").alias("source"), *[F.lit(None).cast(types[c]).alias(c) for c in ("name", "name_candidates", "address")], F.lit(False).alias("success"), reason.alias("failure_reason"), *[F.lit(None).cast(types[c]).alias(c) for c in ("raw_lines", "csz_line")])
     return out.unionByName(failed)
 
 
+def bol_from_words(pages: DataFrame, words: DataFrame, profile: Profile = PROFILE, tuning: Tuning = TUNING, usps: bool = True) -> DataFrame:
+    """Ship-to extractions from the OCR words of bills of lading.
+
+    pages: invoice_id, page_w, page_h, one row a page. words: invoice_id, pass
+    (page, header or roi), psm, block_num, par_num, line_num, word_idx, left, top,
+    width, height, text. Words of the region (roi) count from the region's own
+    corner, which bounds() gives; the others from the page's.
+    """
+    lines = word_lines(words)
+    full = union_passes(lines.filter("pass = 'page'"), 3, 6, 11)
+    header = words.filter("pass = 'header'")
+    at = settled(bounds(pages, full, header, profile, tuning))
+    corner = at.filter("failure is null").select("invoice_id", "roi_x1", "roi_y1")
+    region = rebase(union_passes(lines.filter("pass = 'roi'"), 3, 6, 11).join(corner, "invoice_id"), F.col("roi_x1"), F.col("roi_y1"))
+    return extract_bol(pages, full, header, region.select(*LINE), profile, tuning, usps, at)
+
+
 def best_variant(variants: DataFrame) -> DataFrame:
     """The OCR variant whose text looks most like an address; the earlier on ties."""
     best = F.max_by(F.struct("variant_idx", "text", "score"), F.struct("score", -F.col("variant_idx")))
@@ -316,8 +340,11 @@ def _near(tokens: Column, target: str, threshold: int) -> Column:
     return near(tokens)
 
 
-def top_anchor(lines: DataFrame, carrier_tokens: tuple[str, ...] = ("badger",), carrier_codes: tuple[str, ...] = ("bdgw", "bogw")) -> DataFrame:
-    """The ship-to label's line: tiers by how sure it is, at least 100 pixels under SHIP FROM; topmost, then best."""
+def top_anchor(lines: DataFrame, carrier_tokens: tuple[str, ...] = (), carrier_codes: tuple[str, ...] = ()) -> DataFrame:
+    """The ship-to label's line: tiers by how sure it is, at least 100 pixels under SHIP FROM; topmost, then best.
+
+    The carrier's name and codes mark the two least sure tiers; without codes there are none.
+    """
     text = line_text(F.col("text"))
     low, tokens = F.lower(text), line_tokens(text)
     rows = lines.withColumns({"_t": text, "_low": low, "_k": tokens})
@@ -325,7 +352,11 @@ def top_anchor(lines: DataFrame, carrier_tokens: tuple[str, ...] = ("badger",),
     rows = rows.withColumn("_from", below).filter(F.col("y_top") >= F.coalesce(F.col("_from") + 100, F.lit(0)))
     rows = rows.filter(~(F.col("_low").contains("ship from") | F.col("_low").contains("smp from") | F.col("_low").contains("bill to")))
     has = lambda *t: F.arrays_overlap("_k", F.array(*[F.lit(x) for x in t]))
-    score = F.when(F.col("_t").rlike(SHIP_TO_VARIANT), 100).when(_near(F.col("_k"), "carrier", 75) & _near(F.col("_k"), "name", 80), 85).when(has(*carrier_tokens) & has("state", *carrier_codes), 70).when(has(*carrier_codes), 65)
+    score = F.when(F.col("_t").rlike(SHIP_TO_VARIANT), 100).when(_near(F.col("_k"), "carrier", 75) & _near(F.col("_k"), "name", 80), 85)
+    if carrier_tokens:
+        score = score.when(has(*carrier_tokens) & has("state", *carrier_codes), 70)
+    if carrier_codes:
+        score = score.when(has(*carrier_codes), 65)
     order = Window.partitionBy("invoice_id").orderBy("y_top", F.desc("score"), "line_idx")
     return rows.withColumn("score", score).filter("score is not null").withColumn("_r", F.row_number().over(order)).filter("_r = 1").drop("_t", "_low", "_k", "_from", "_r")
 

@@ -171,7 +171,7 @@ def _(spark, d):
 
 
 for _name, _rule in {"rule_required": M.REQUIRED, "rule_triple": M.TRIPLE, "rule_no_number": M.NO_NUMBER, "rule_dup_number": M.DUPLICATE_NUMBER, "rule_malformed": M.MALFORMED}.items():
-    query(_name, base() + f" SELECT * FROM ({RULES[_rule]}) AS t(row, rule, severity)")(lambda spark, d, c=M.CHECKS[_rule]: c(_rows(spark, d)).select("row", "rule", "severity"))
+    query(_name, base() + f" SELECT * FROM ({RULES[_rule]}) AS t(row, rule, severity)")(lambda spark, d, r=_rule: M.validate(_rows(spark, d), r).select("row", "rule", "severity"))
 
 
 @query("violations_all", base() + f" SELECT * FROM ({VIOLATIONS}) ORDER BY row, rule")
@@ -604,7 +604,7 @@ def _(spark, d):
 
 @query("top_anchor")
 def _(spark, d):
-    return O.top_anchor(view(spark, d, "ocr_lines").withColumn("text", F.when(F.col("line_idx") % 100 == 3, "SMP TO Carrier").otherwise(F.col("text"))))
+    return O.top_anchor(view(spark, d, "ocr_lines").withColumn("text", F.when(F.col("line_idx") % 100 == 3, "SMP TO Carrier").otherwise(F.col("text"))), VENDORS["a"].carrier_tokens, VENDORS["a"].carrier_codes)
 
 
 @query("bottom_anchor")

@@ -71,9 +71,7 @@ class Run:
 def load_master(cells: DataFrame, source: str = "", report_path: str | None = None, strict: bool = False, usps: bool = True) -> DataFrame:
     """Entries of the master; the report is written before strict validation raises."""
     rows = settled(M.master_rows(cells, usps))
-    text, n_hard = sinks.validation_report(M.validate(rows), source, rows.count(), strict, aborted=False)
-    if strict and n_hard:
-        text = sinks.validation_report(M.validate(rows), source, rows.count(), strict, aborted=True)[0]
+    text, n_hard = sinks.validation_report(M.validate(rows), source, rows.count(), strict)
     if report_path:
         sinks.write_text(cells.sparkSession, report_path, text)
     if strict and n_hard:

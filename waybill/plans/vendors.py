@@ -23,6 +23,8 @@ class VendorSpec:
     categories: dict[str, str]
     required: list[str] = field(default_factory=lambda: list(REQUIRED))
     profile: Profile = Profile()
+    carrier_tokens: tuple[str, ...] = ()
+    carrier_codes: tuple[str, ...] = ()
 
     def for_payer(self, own_name: str) -> VendorSpec:
         """The vendor, with the paying company's name as the lower anchor of its forms."""
@@ -31,6 +33,6 @@ class VendorSpec:
 
 # Names on bills and categories by shipper, in the order they are tried.
 VENDORS = {
-    "a": VendorSpec("a", "Badger State Western, Inc.", "Badger State Western", parse_vendor_a, {"Midwest Refrigerated Services": "Product Delivery - Customer:Outbound Transport - MRS", "Old Wisconsin Sausage Company": "5127 Product Delivery - Customer:Old Wisconsin", "DairyFood USA": "5128 Product Delivery - Customer:Dairyfood"}),
+    "a": VendorSpec("a", "Badger State Western, Inc.", "Badger State Western", parse_vendor_a, {"Midwest Refrigerated Services": "Product Delivery - Customer:Outbound Transport - MRS", "Old Wisconsin Sausage Company": "5127 Product Delivery - Customer:Old Wisconsin", "DairyFood USA": "5128 Product Delivery - Customer:Dairyfood"}, carrier_tokens=("badger",), carrier_codes=("bdgw", "bogw")),
     "b": VendorSpec("b", "Scotlynn USA Division, Inc.", "Scotlynn", parse_vendor_b, {"Midwest Refrigerated Services": "Product Delivery - Customer:Outbound Transport - MRS", "OLD WISCONSIN": "5127 Product Delivery - Customer:Old Wisconsin", "DairyFood USA": "5128 Product Delivery - Customer:Dairyfood"}),
 }

@@ -66,7 +66,7 @@ VIEWS = {
                 concat(CASE WHEN cents >= 100000 THEN concat(CAST(CAST(floor(cents / 100000) AS BIGINT) AS STRING), ',', lpad(CAST(CAST(floor(cents / 100) AS BIGINT) % 1000 AS STRING), 3, '0')) ELSE CAST(CAST(floor(cents / 100) AS BIGINT) AS STRING) END, '.', lpad(CAST(cents % 100 AS STRING), 2, '0')) AS amount FROM orders_keyed) o""",
     "ocr_lines": """
         SELECT CAST(l_orderkey AS STRING) AS invoice_id, CAST(l_partkey * 1000000 + l_suppkey * 100 + l_linenumber AS BIGINT) AS line_idx,
-            CASE l_linenumber % 7 WHEN 0 THEN concat('City ', chr(65), 'b, WI ', CAST(53000 + l_partkey % 999 AS STRING)) WHEN 1 THEN concat(CAST(l_partkey AS STRING), ' Main St') WHEN 2 THEN 'ast' WHEN 3 THEN concat('Vaughn Foods ', CAST(l_suppkey AS STRING)) WHEN 4 THEN concat('| Green Bay, WI  5430', CAST(l_linenumber AS STRING), '-1234') WHEN 5 THEN 'Attn Bo' ELSE 'P.O. Box 12' END AS text,
+            CASE l_linenumber % 7 WHEN 0 THEN concat('City ', chr(65), 'b, WI ', CAST(53000 + l_partkey % 999 AS STRING)) WHEN 1 THEN concat(CAST(l_partkey AS STRING), ' Main St') WHEN 2 THEN 'ast' WHEN 3 THEN concat('Harlow Foods ', CAST(l_suppkey AS STRING)) WHEN 4 THEN concat('| Green Bay, WI  5430', CAST(l_linenumber AS STRING), '-1234') WHEN 5 THEN 'Attn Bo' ELSE 'P.O. Box 12' END AS text,
             CAST(100 + (l_partkey * 7 + l_linenumber * 31) % 200 AS INT) AS y_top, CAST(100 + (l_partkey * 7 + l_linenumber * 31) % 200 + 10 + l_suppkey % 40 AS INT) AS y_bot, CAST(10 AS INT) AS x_left, CAST(400 AS INT) AS x_right
         FROM lineitem""",
     "ocr_words": """

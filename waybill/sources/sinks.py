@@ -50,14 +50,18 @@ def verdict(n_hard: int, strict: bool, aborted: bool = False) -> str:
     return f"PASS with {n_hard} hard violation(s) (non-strict mode; would FAIL with --strict-master)" if n_hard else "PASS"
 
 
-def validation_report(violations: DataFrame, source: str, total_rows: int, strict: bool, aborted: bool = False, generated: str | None = None) -> tuple[str, int]:
-    """(report text, hard violations). Violations of a master sheet are few; they come to the driver in order."""
+def validation_report(violations: DataFrame, source: str, total_rows: int, strict: bool, aborted: bool | None = None, generated: str | None = None) -> tuple[str, int]:
+    """(report text, hard violations). Violations of a master sheet are few; they come to the driver in order.
+
+    ``aborted``: whether the run stops here; by default, as strict runs do with hard violations.
+    """
     found: dict[str, list] = {}
     hard = {REQUIRED, TRIPLE, NO_NUMBER}
     for v in violations.select("row", "rule", "message").orderBy("row", "rule").toLocalIterator():
         found.setdefault(v.rule, []).append(v)
     n_hard = sum(len(v) for k, v in found.items() if k in hard)
     n_soft = sum(len(v) for k, v in found.items() if k not in hard)
+    aborted = strict and n_hard > 0 if aborted is None else aborted
     lines = ["Customer Master Validation Report", "=" * 78, f"Generated:   {generated or datetime.datetime.now().isoformat(timespec='seconds')}", f"Source:      {source}", f"Total rows:  {total_rows}", f"Mode:        {'strict (hard violations are fatal)' if strict else 'non-strict (failures logged, run continues)'}", ""]
     for title, rules, bad, unit in (("=== HARD RULES ===", [r for r in RULE_TITLES if r in hard], "FAIL", "violation(s)"), ("=== SOFT RULES (warnings) ===", [r for r in RULE_TITLES if r not in hard], "WARN", "entries")):
         lines += [title, ""]
@@ -69,9 +73,9 @@ def validation_report(violations: DataFrame, source: str, total_rows: int, stric
     return "\n".join(lines), n_hard
 
 
-def bills_preview(rows: DataFrame) -> str:
-    """Each bill as an aligned block, for a dry run."""
-    bills = rows.orderBy(F.col("`Bill no.`")).collect()
+def bills_preview(rows: DataFrame, limit: int = 1000) -> str:
+    """The first ``limit`` bills by number, each as an aligned block, for a dry run; bills.csv of a full run holds them all."""
+    bills = rows.orderBy(F.col("`Bill no.`")).limit(limit).collect()
     width = max(map(len, BILL_HEADERS))
     blocks = ["\n".join([f"───── Bill {k} of {len(bills)} ─────", *[f"  {h.ljust(width)}  {b[h]}" for h in BILL_HEADERS]]) for k, b in enumerate(bills, 1)]
     return "\n\n".join(blocks) or "(no bills)"
