@@ -504,18 +504,116 @@ def _(spark, d):
     return O.union_passes(O.word_lines(view(spark, d, "ocr_words")), 3, 6, 11).select("invoice_id", "psm", "line_num", "line_idx")
 
 
-@query("anchor_mean", with_views("ocr_words", wl=WLINES, un=UNION) + " SELECT invoice_id, CAST(round_even(avg(y_top), 0) AS INTEGER) AS y FROM un WHERE line_num = 0 GROUP BY invoice_id")
+LTEXT = s_strip(r"regexp_replace(text, '\s+', ' ', 'g')")
+CSZL = f"SELECT *, {s_strip(f'''regexp_extract(t, '{X.CSZ.replace(chr(39), chr(39) * 2)}', 1)''')} AS csz_city, regexp_extract(t, '{X.CSZ.replace(chr(39), chr(39) * 2)}', 2) AS csz_state, regexp_extract(t, '{X.CSZ.replace(chr(39), chr(39) * 2)}', 3) AS csz_zip FROM (SELECT *, {LTEXT} AS t FROM ocr_lines) WHERE regexp_matches(t, '{X.CSZ.replace(chr(39), chr(39) * 2)}')"
+
+
+# --- bills of lading: words to bounds -----------------------------------------------
+FORM = O.Profile(lower_anchor=OWN_NAME.lower())
+
+
+def s_anchors(target: str, threshold: int, share: float) -> str:
+    """Lines of ``full`` about as long as the target that nearly contain it; each text is scored once."""
+    scored = f"SELECT t, CAST(floor({s_partial('a', 't')}) AS INTEGER) AS score FROM (SELECT DISTINCT t, '{target}' AS a FROM (SELECT lower({LTEXT}) AS t FROM un) WHERE length(t) >= {int(len(target) * share)})"
+    return f"WITH sc AS MATERIALIZED ({scored}) SELECT u.*, sc.score FROM (SELECT *, lower({LTEXT}) AS t FROM un) u JOIN sc ON u.t = sc.t WHERE sc.score >= {threshold}"
+
+
+def s_header(target: str) -> str:
+    scored = f"SELECT *, {s_ratio('upper(t)', chr(39) + target + chr(39))} AS score FROM (SELECT *, trim(text) AS t FROM bol_words WHERE pass = 'header' AND trim(text) <> '' AND length(trim(text)) <= {len(target) + 2})"
+    return f"""SELECT invoice_id, t AS text, "left" AS x_left, "left" + width AS x_right, top AS y_top, score FROM (SELECT *, row_number() OVER (PARTITION BY invoice_id ORDER BY top, score DESC, word_idx) AS r FROM ({scored}) WHERE score >= {O.TUNING.divider_threshold}) WHERE r = 1"""
+
+
+def s_mean(lines: str, y: str = "y_top") -> str:
+    return f"SELECT invoice_id, CAST(round_even(avg({y}), 0) AS INTEGER) AS y, CAST(round_even(avg(score), 0) AS INTEGER) AS score, count(*) AS n FROM {lines} GROUP BY invoice_id"
+
+
+BOL = dict(
+    wl=WLINES.replace("ocr_words", "bol_words"),
+    un=UNION + " AND pass = 'page'",
+    ups=s_anchors(FORM.upper_anchor, O.TUNING.anchor_threshold, O.TUNING.anchor_min_len),
+    lows=s_anchors(FORM.lower_anchor, O.TUNING.anchor_threshold, O.TUNING.anchor_min_len),
+    heads=s_anchors(FORM.header, FORM.header_threshold, O.TUNING.header_min_len),
+    wa=s_header(FORM.divider_words[0]),
+    wb=s_header(FORM.divider_words[1]),
+    dv="SELECT coalesce(wa.invoice_id, wb.invoice_id) AS invoice_id, coalesce(CAST(floor((wa.x_right + wb.x_left) / 2) AS INTEGER), wb.x_left, wa.x_right) AS divider_x FROM wa FULL JOIN wb ON wa.invoice_id = wb.invoice_id",
+    ends=f"SELECT p.*, coalesce(u.y, h.y + {FORM.header_pad}) AS upper_y, l.y AS lower_y, dv.divider_x FROM bol_pages p LEFT JOIN ({s_mean('ups')}) u ON u.invoice_id = p.invoice_id LEFT JOIN ({s_mean('lows')}) l ON l.invoice_id = p.invoice_id LEFT JOIN ({s_mean('heads', 'y_bot')}) h ON h.invoice_id = p.invoice_id LEFT JOIN dv ON dv.invoice_id = p.invoice_id",
+    mids="SELECT *, CAST(floor((upper_y + lower_y) / 2) AS INTEGER) AS mid_y FROM ends",
+    bnd=f"""SELECT *, 0 AS roi_x1, CAST(least(page_w, coalesce(divider_x, floor(page_w / 2)) + {O.TUNING.roi_pad_right}) AS INTEGER) AS roi_x2, CASE WHEN mid_y IS NOT NULL THEN greatest(0, mid_y - {O.TUNING.roi_pad_top}) ELSE 0 END AS roi_y1, CASE WHEN lower_y IS NOT NULL THEN least(page_h, lower_y + {O.TUNING.roi_pad_bottom}) ELSE page_h END AS roi_y2,
+        CASE WHEN upper_y IS NULL AND lower_y IS NULL THEN 'Could not locate the SHIP TO block on the BOL: neither the upper anchor (''{FORM.upper_anchor}'') nor the lower anchor (''{FORM.lower_anchor}'') could be matched in the page-2 OCR output.'
+            WHEN upper_y IS NULL THEN concat('Could not locate the top of the SHIP TO block: the upper anchor (''{FORM.upper_anchor}'') was not matched in OCR. The lower anchor (''{FORM.lower_anchor}'') was found at y=', lower_y, '.')
+            WHEN lower_y IS NULL THEN concat('Could not locate the bottom of the SHIP TO block: the lower anchor (''{FORM.lower_anchor}'') was not matched in OCR. The upper anchor (''{FORM.upper_anchor}'') was found at y=', upper_y, '.') END AS failure FROM mids""",
+)
+
+
+def s_bol(sql: str) -> str:
+    return with_views("bol_pages", "bol_words", **BOL) + sql
+
+
+def _page_lines(spark, d):
+    return O.union_passes(O.word_lines(view(spark, d, "bol_words").filter("pass = 'page'")), 3, 6, 11)
+
+
+def _header(spark, d):
+    return view(spark, d, "bol_words").filter("pass = 'header'")
+
+
+def _bounds(spark, d):
+    return O.bounds(view(spark, d, "bol_pages"), _page_lines(spark, d), _header(spark, d), FORM)
+
+
+@query("anchor_lines", s_bol(" SELECT 'upper' AS anchor, invoice_id, line_num, score FROM ups UNION ALL SELECT 'lower', invoice_id, line_num, score FROM lows"))
 def _(spark, d):
-    return O.anchor_mean(O.union_passes(O.word_lines(view(spark, d, "ocr_words")), 3, 6, 11).filter("line_num = 0"))
+    found = [O.anchor_lines(_page_lines(spark, d), t).select(F.lit(n).alias("anchor"), "invoice_id", "line_num", "score") for n, t in (("upper", FORM.upper_anchor), ("lower", FORM.lower_anchor))]
+    return found[0].unionByName(found[1])
 
 
-@query("midline", with_views("ocr_lines") + " SELECT invoice_id, CAST(floor((min(y_top) + max(y_bot)) / 2) AS INTEGER) AS mid_y FROM ocr_lines GROUP BY invoice_id")
+@query("anchor_mean", s_bol(f" SELECT invoice_id, y FROM ({s_mean('lows')})"))
 def _(spark, d):
-    return view(spark, d, "ocr_lines").groupBy("invoice_id").agg(F.floor((F.min("y_top") + F.max("y_bot")) / 2).cast("int").alias("mid_y"))
+    return O.anchor_mean(O.anchor_lines(_page_lines(spark, d), FORM.lower_anchor))
 
 
-LTEXT = s_strip(r"regexp_replace(text, '\s+', ' ', 'g')")
-CSZL = f"SELECT *, {s_strip(f'''regexp_extract(t, '{X.CSZ.replace(chr(39), chr(39) * 2)}', 1)''')} AS csz_city, regexp_extract(t, '{X.CSZ.replace(chr(39), chr(39) * 2)}', 2) AS csz_state, regexp_extract(t, '{X.CSZ.replace(chr(39), chr(39) * 2)}', 3) AS csz_zip FROM (SELECT *, {LTEXT} AS t FROM ocr_lines) WHERE regexp_matches(t, '{X.CSZ.replace(chr(39), chr(39) * 2)}')"
+@query("header_fallback", s_bol(f" SELECT invoice_id, y + {FORM.header_pad} AS y, score, n FROM ({s_mean('heads', 'y_bot')})"))
+def _(spark, d):
+    return O.header_fallback(_page_lines(spark, d), FORM)
+
+
+@query("header_words", s_bol(" SELECT * FROM wa UNION ALL SELECT * FROM wb"))
+def _(spark, d):
+    first, second = (O.header_words(_header(spark, d), t) for t in FORM.divider_words)
+    return first.unionByName(second)
+
+
+@query("divider", s_bol(" SELECT * FROM dv"))
+def _(spark, d):
+    return O.divider(*[O.header_words(_header(spark, d), t) for t in FORM.divider_words])
+
+
+@query("midline", s_bol(" SELECT invoice_id, mid_y FROM mids WHERE mid_y IS NOT NULL"))
+def _(spark, d):
+    return _bounds(spark, d).filter("mid_y is not null").select("invoice_id", "mid_y")
+
+
+BOUNDS = ["invoice_id", "upper_y", "lower_y", "mid_y", "divider_x", "roi_x1", "roi_x2", "roi_y1", "roi_y2", "failure"]
+
+
+@query("bol_bounds", s_bol(f" SELECT {', '.join(BOUNDS)} FROM bnd WHERE failure IS NULL UNION ALL SELECT invoice_id, upper_y, lower_y, NULL, divider_x, NULL, NULL, NULL, NULL, failure FROM bnd WHERE failure IS NOT NULL"))
+def _(spark, d):
+    found = _bounds(spark, d)
+    region = ["mid_y", "roi_x1", "roi_x2", "roi_y1", "roi_y2"]
+    return found.select(*[F.when(F.col("failure").isNull(), F.col(c)).alias(c) if c in region else F.col(c) for c in BOUNDS])
+
+
+@query("bol_region", s_bol(" SELECT w.invoice_id, w.text, w.y_top + b.roi_y1 AS y_top, w.y_bot + b.roi_y1 AS y_bot, w.x_left, w.x_right FROM wl w JOIN bnd b ON b.invoice_id = w.invoice_id WHERE w.pass = 'roi' AND b.failure IS NULL"))
+def _(spark, d):
+    at = _bounds(spark, d).filter("failure is null").select("invoice_id", "roi_x1", "roi_y1")
+    lines = O.word_lines(view(spark, d, "bol_words").filter("pass = 'roi'")).join(at, "invoice_id")
+    return O.rebase(lines, F.col("roi_x1"), F.col("roi_y1")).select("invoice_id", "text", "y_top", "y_bot", "x_left", "x_right")
+
+
+@query("bol_extract")
+def _(spark, d):
+    return O.bol_from_words(view(spark, d, "bol_pages"), view(spark, d, "bol_words"), FORM).select("invoice_id", "name", "address.street", "address.postcode", "success", "failure_reason", "csz_line")
+
 
 
 def s_islands(t: str) -> str:
@@ -654,13 +752,6 @@ def _(spark, d):
     return _extractions(spark, d).withColumn("usable", F.col("address").isNotNull() & (F.col("address.street") != "")).groupBy("source", "usable").agg(F.count("*").alias("n"))
 
 
-@query("divider", with_views("ocr_words") + ' SELECT coalesce(a.invoice_id, b.invoice_id) AS invoice_id, coalesce(CAST(floor((x + y) / 2) AS INTEGER), y, x) AS divider_x FROM (SELECT invoice_id, max("left" + width) AS x FROM ocr_words WHERE line_num = 0 GROUP BY 1) a FULL JOIN (SELECT invoice_id, min("left") AS y FROM ocr_words WHERE line_num = 1 GROUP BY 1) b ON a.invoice_id = b.invoice_id')
-def _(spark, d):
-    w = view(spark, d, "ocr_words")
-    left = w.filter("line_num = 0").groupBy("invoice_id").agg(F.max(F.col("left") + F.col("width")).alias("x_right"))
-    return O.divider(left, w.filter("line_num = 1").groupBy("invoice_id").agg(F.min("left").alias("x_left")))
-
-
 @query("run_report")
 def _(spark, d):
     return _outcome(spark, d)[3].groupBy("fail_step", "severity").agg(F.count("*").alias("n"))

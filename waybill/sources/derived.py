@@ -73,9 +73,19 @@ VIEWS = {
         SELECT CAST(l_orderkey AS STRING) AS invoice_id, 'page' AS pass, CAST(CASE l_linenumber % 3 WHEN 0 THEN 3 WHEN 1 THEN 6 ELSE 11 END AS INT) AS psm, CAST(1 AS INT) AS block_num, CAST(1 AS INT) AS par_num, CAST(l_suppkey % 2 AS INT) AS line_num, CAST(l_linenumber AS INT) AS word_idx,
             CAST(l_partkey % 500 AS INT) AS "left", CAST(l_suppkey % 300 AS INT) AS top, CAST(20 + l_partkey % 30 AS INT) AS width, CAST(10 + l_suppkey % 9 AS INT) AS height, CASE WHEN l_partkey % 13 = 1 THEN '  ' ELSE concat(' w', CAST(l_partkey AS STRING)) END AS text
         FROM lineitem""",
+    "bol_pages": "SELECT CAST(o_orderkey AS STRING) AS invoice_id, CAST(1000 AS INT) AS page_w, CAST(1400 AS INT) AS page_h FROM orders",
+    "bol_words": """
+        SELECT CAST(l_orderkey AS STRING) AS invoice_id, CASE WHEN l_linenumber <= 2 THEN 'page' WHEN l_linenumber <= 4 THEN 'header' ELSE 'roi' END AS pass, CAST(CASE l_partkey % 3 WHEN 0 THEN 3 WHEN 1 THEN 6 ELSE 11 END AS INT) AS psm,
+            CAST(l_suppkey AS INT) AS block_num, CAST(1 AS INT) AS par_num, CAST(l_partkey * 10 + l_linenumber AS INT) AS line_num, CAST(l_partkey AS INT) AS word_idx, CAST(CASE l_linenumber WHEN 3 THEN 300 WHEN 4 THEN 480 ELSE 10 END + l_partkey % 40 AS INT) AS "left",
+            CAST(CASE l_linenumber WHEN 1 THEN 100 + l_partkey % 50 WHEN 2 THEN 400 + l_suppkey % 50 WHEN 3 THEN 60 + l_partkey % 9 WHEN 4 THEN 60 + l_partkey % 9 WHEN 5 THEN 100 WHEN 6 THEN 140 ELSE 180 END AS INT) AS top, CAST(80 + l_partkey % 30 AS INT) AS width, CAST(18 + l_suppkey % 5 AS INT) AS height,
+            CASE l_linenumber WHEN 1 THEN CASE l_partkey % 5 WHEN 0 THEN 'BILL OF LADING NUMBER: 12' WHEN 1 THEN 'Bill of  Ladinq Number' WHEN 2 THEN 'BILL OF LADING SHORT FORM - NOT NEGOTIABLE' WHEN 3 THEN 'Bl of Ldng Nmbr' ELSE 'i' END
+                WHEN 2 THEN CASE l_partkey % 4 WHEN 0 THEN 'Own Farms' WHEN 1 THEN '| OWN FARM5 Inc' WHEN 2 THEN ' own fanms ' ELSE 'freight charges' END
+                WHEN 3 THEN CASE l_partkey % 4 WHEN 0 THEN 'SHORT' WHEN 1 THEN 'SH0RT' WHEN 2 THEN 'Shor' ELSE 'elsewhere' END WHEN 4 THEN CASE l_partkey % 4 WHEN 0 THEN 'FORM' WHEN 1 THEN 'F0RM' WHEN 2 THEN 'from' ELSE '  ' END
+                WHEN 5 THEN concat('Harlow Foods ', CAST(l_suppkey AS STRING)) WHEN 6 THEN concat(CAST(1 + l_partkey % 900 AS STRING), ' Main St') ELSE concat('Green Bay, WI 5430', CAST(l_partkey % 9 AS STRING)) END AS text
+        FROM lineitem""",
 }
 #: The tables each view reads.
-NEEDS = {"master_keys": ["customer"], "master_cells": ["master_keys"], "orders_keyed": ["orders"], "extraction": ["orders", "master_cells"], "raw_strings": ["orders"], "pages": ["orders_keyed"], "ocr_lines": ["lineitem"], "ocr_words": ["lineitem"]}
+NEEDS = {"master_keys": ["customer"], "master_cells": ["master_keys"], "orders_keyed": ["orders"], "extraction": ["orders", "master_cells"], "raw_strings": ["orders"], "pages": ["orders_keyed"], "ocr_lines": ["lineitem"], "ocr_words": ["lineitem"], "bol_pages": ["orders"], "bol_words": ["lineitem"]}
 
 
 def _closure(names: tuple[str, ...]) -> list[str]:
