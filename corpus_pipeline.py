@@ -47,8 +47,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Piece ids of every document of the mix; a null text has none."""
-    return encode_pieces(docs)
+    """Piece ids of every document of the mix, each copy with a segmentation of its own; a null text has none."""
+    return encode_pieces(docs, vary_copies=True)
 
 
 STAGES = [

@@ -67,3 +67,17 @@ def test_dropout_varies_by_seed_only(spark):
     back = sorted(((r.doc_id is not None, r.doc_id or 0), r.text) for r in m.decode_pieces(one).collect())
     assert back == sorted(((k is not None, k or 0), t or "") for k, t, *_ in rows)
     assert m.encode_pieces(docs.limit(0)).collect() == []
+
+
+def test_copies_vary(spark):
+    rows = [(1, TEXTS[8] * 3), (1, TEXTS[8] * 3), (1, TEXTS[8]), (2, TEXTS[12]), (None, TEXTS[12]), (None, TEXTS[12]), (3, None), (3, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+
+    def encoded(df, **options):
+        return sorted((r.doc_id or 0, bytes(r.ids)) for r in m.encode_pieces(df, alpha=0.3, **options).collect())
+
+    alike, varied = encoded(docs), encoded(docs, vary_copies=True)
+    assert varied == encoded(docs.repartition(4), vary_copies=True) and len(varied) == len(rows)
+    assert len(set(alike)) == 5 and len(set(varied)) == 7 and set(alike) < set(varied)
+    assert all(r.lossless for r in m.encode_pieces(docs, alpha=0.3, vary_copies=True).collect())
+    assert encoded(docs.limit(0), vary_copies=True) == []

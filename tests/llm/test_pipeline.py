@@ -56,6 +56,7 @@ def test_stages(spark, sf_dir):
     out = docs.collect()
     text = {r[0]: r[1] for r in four}
     assert Counter(r.doc_id for r in out) == times
+    assert len({(r.doc_id, bytes(r.ids)) for r in out}) == len(out) > len(times)
     assert all(piece_codec.decode_ids(model, np.frombuffer(r.ids, model.dtype)).decode() == text[r.doc_id] for r in out)
 
 

@@ -24,7 +24,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ._common import python_ready, table, text_or_empty
@@ -291,19 +291,26 @@ def _encoded(proto, alpha: float, seed: int):
     return run
 
 
-def encode_pieces(docs: DataFrame, model_path: str | None = None, alpha: float = 0.1, seed: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode_pieces(docs: DataFrame, model_path: str | None = None, alpha: float = 0.1, seed: int = 1, id_col: str = "doc_id", text_col: str = "text", vary_copies: bool = False) -> DataFrame:
     """id, n_tokens, ids (binary: little-endian, 2 bytes a piece if all ids fit, else 4), lossless of every row.
 
     ``lossless``: decoding the ids gave the text back. Null and empty texts have
     no pieces. Dropout is keyed by seed and id (a null id counts as 0), so that
-    repeated rows encode alike. Other columns are not read. An empty table gives
-    an empty result. The model's file is broadcast (bounded: some MB).
+    repeated rows encode alike; with ``vary_copies`` the second and later rows of
+    one id and text are keyed by their number too, so each has a segmentation of
+    its own. That moves every text to the task of its id and text, so it is for
+    tables that hold a few copies of a document, as a mix does. Other columns are
+    not read. An empty table gives an empty result. The model's file is broadcast
+    (bounded: some MB).
     """
     spark = docs.sparkSession
     python_ready(spark)
     proto = spark.sparkContext.broadcast(model_bytes(spark, model_path or default_model()))
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(id_col)).alias("key"), text_or_empty(text_col).alias("text"))
     kind = dict(rows.dtypes)["id"]
+    if vary_copies:
+        number = F.row_number().over(Window.partitionBy("id", F.xxhash64("text")).orderBy(F.lit(0)))
+        rows = rows.withColumn("n", number).select("id", F.when(F.col("n") == 1, F.col("key")).otherwise(F.xxhash64("id", "n")).alias("key"), "text")
     return rows.mapInArrow(_encoded(proto, alpha, seed), f"id {kind}, n_tokens long, ids binary, lossless boolean").withColumnRenamed("id", id_col)
 
 
