@@ -53,8 +53,8 @@ def _extractions(spark, d):
     return e.select("invoice_id", "source", "name", F.filter(F.array("name", "name2"), lambda x: x.isNotNull()).alias("name_candidates"), F.when(keyed, a).alias("address"), keyed.alias("success"))
 
 
-def _match(spark, d):
-    return R.match_invoices(_extractions(spark, d), _master(spark, d), DENY)
+def _match(spark, d, matrix=False):
+    return R.match_invoices(_extractions(spark, d), _master(spark, d), DENY, matrix)
 
 
 # --- DuckDB building blocks -------------------------------------------------
@@ -320,7 +320,7 @@ MATCH = dict(ext=EXT, hits=HITS, cnt=COUNTS, cands=CANDS, named=NAMED, prs=PRS,
 
 @query("match_source", base("extraction", **MATCH) + s_texts(" SELECT invoice_id, source, method, row, score, CAST(n_candidates AS INTEGER) AS n_candidates FROM src", "row", "score"))
 def _(spark, d):
-    return texts(R.match_sources(_extractions(spark, d), _master(spark, d)).select("invoice_id", "source", "method", F.col("entry.row").alias("row"), "score", "n_candidates"), "row", "score")
+    return texts(R.match_sources(_extractions(spark, d), _master(spark, d), matrix=False).select("invoice_id", "source", "method", F.col("entry.row").alias("row"), "score", "n_candidates"), "row", "score")
 
 
 @query("name_disambiguation", base("extraction", **MATCH) + " SELECT n.invoice_id, n.source, n.cand, n.shipto_name, s.score FROM named n JOIN scores s ON n.cn = s.a AND n.rn = s.b")
@@ -346,7 +346,7 @@ def _(spark, d):
 
 @query("match_log")
 def _(spark, d):
-    return R.match_log(_match(spark, d))
+    return R.match_log(_match(spark, d, matrix=True))
 
 
 # --- bills ------------------------------------------------------------------------
