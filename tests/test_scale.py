@@ -44,6 +44,16 @@ def test_matrix_has_every_entry(spark):
     assert (both.method, both.severity, both.master_row, len(both.bol_matrix), len(both.inv_matrix)) == ("bol_wins_disagreement", "info", 10, 4002, 2001)
 
 
+def test_outcome_without_bills(spark):
+    parsed = spark.createDataFrame([("a", False), ("b", False), ("c", True)], "invoice_id string, parse_error boolean")
+    match = R.match_invoices(_extractions(spark), _site(spark), matrix=False)
+    missing = F.lit(None).cast("struct<field:string,reason:string>")
+    got = sorted((r.invoice_id, r.billed, r.fail_step) for r in B.outcomes(parsed, match, None, missing).collect())
+    bills = match.filter("customer_name is not null").select("invoice_id").join(parsed.filter("not parse_error"), "invoice_id")
+    assert got == [("a", True, None), ("b", False, "match_customer"), ("c", False, "parse_pdf")]
+    assert got == sorted((r.invoice_id, r.billed, r.fail_step) for r in B.outcomes(parsed, match, bills, missing).collect())
+
+
 @pytest.mark.parametrize("n", [1, 40])
 def test_pages_run_over_batches(spark, n):
     """Pages that straddle Arrow batches are whole, and no page has a data frame of its own."""

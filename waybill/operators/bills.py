@@ -48,15 +48,18 @@ def bill_rows(bills: DataFrame) -> DataFrame:
     return bills.select(*[v.alias(h) for v, h in zip(values, BILL_HEADERS)])
 
 
-def outcomes(parsed: DataFrame, match: DataFrame, bills: DataFrame, missing: Column) -> DataFrame:
+def outcomes(parsed: DataFrame, match: DataFrame, bills: DataFrame | None, missing: Column) -> DataFrame:
     """One row an invoice: all stages and the first step that failed.
 
     ``missing``: first_missing() of the vendor. Later steps only count where no
-    earlier one failed.
+    earlier one failed. Without ``bills`` every invoice with a customer counts as
+    billed, as by make_bills(), so nothing is parsed and matched a second time.
     """
-    m = match.select("invoice_id", "method", "severity", "success", F.col("entry").alias("match_entry"), "bol_method", "bol_score", "inv_method", "inv_score", "fail_reason")
-    b = bills.select("invoice_id", F.lit(True).alias("_bill"))
-    rows = parsed.withColumn("_missing", missing).join(m, "invoice_id", "left").join(b, "invoice_id", "left")
+    billed = F.when(F.col("customer_name").isNotNull(), True).alias("_bill")
+    m = match.select("invoice_id", "method", "severity", "success", F.col("entry").alias("match_entry"), "bol_method", "bol_score", "inv_method", "inv_score", "fail_reason", *([billed] if bills is None else []))
+    rows = parsed.withColumn("_missing", missing).join(m, "invoice_id", "left")
+    if bills is not None:
+        rows = rows.join(bills.select("invoice_id", F.lit(True).alias("_bill")), "invoice_id", "left")
     step = F.when(F.col("parse_error"), "parse_pdf").when(F.col("_missing").isNotNull(), "validate_fields").when(~F.coalesce("success", F.lit(False)), "match_customer").when(F.col("_bill").isNull(), "build_bill_entry")
     message = F.when(F.col("parse_error"), "PDF parsing failed").when(F.col("_missing").isNotNull(), F.concat(F.lit("missing required field: "), F.col("_missing.field"))).when(step == "match_customer", F.coalesce("fail_reason", F.lit("no match"))).when(step == "build_bill_entry", "bill could not be built")
     early = F.col("parse_error") | F.col("_missing").isNotNull()

@@ -436,12 +436,14 @@ def _(spark, d):
 
 
 # --- whole run, one vendor ------------------------------------------------------------
-def _outcome(spark, d, v="a"):
+def _bills(spark, d, v="a"):
     spec = VENDORS[v]
-    parsed, match = settled(_parsed(spark, d, v)), settled(_match(spark, d))
-    billable = parsed.filter(~F.col("parse_error")).withColumn("_m", P.first_missing(spec.required)).filter("_m is null").join(match.filter("success").select("invoice_id", "customer_name"), "invoice_id")
-    made = B.make_bills(billable, spec.bill_name, spec.categories)
-    return parsed, match, made, B.outcomes(parsed, match, made, P.first_missing(spec.required))
+    ready = _parsed(spark, d, v).filter(~F.col("parse_error")).withColumn("_m", P.first_missing(spec.required)).filter("_m is null").drop("text", "layout", "reasons", "_m")
+    return B.make_bills(ready.join(_match(spark, d).filter("success").select("invoice_id", "customer_name"), "invoice_id"), spec.bill_name, spec.categories)
+
+
+def _outcome(spark, d, v="a"):
+    return B.outcomes(_parsed(spark, d, v).drop("text", "layout"), _match(spark, d), None, P.first_missing(VENDORS[v].required))
 
 
 RUN = dict(**MATCH, blk=s_block("a"), parsed=s_fields("a"), miss="SELECT *, CASE " + " ".join(f"WHEN {c} IS NULL THEN '{c}'" for c in REQ) + " END AS gone FROM parsed")
@@ -450,12 +452,12 @@ BILLABLE = "FROM miss p JOIN decided m ON p.invoice_id = m.invoice_id WHERE NOT
 
 @query("bills", base("extraction", "pages", **RUN) + s_texts(f" SELECT p.invoice_id, '{VENDORS['a'].bill_name}' AS vendor, CASE WHEN date_trunc('month', invoice_date) = date_trunc('month', ship_date) THEN invoice_date ELSE ship_date END AS bill_date, CAST(past_due_date - 1 AS DATE) AS due_date, invoice_number AS bill_number, {s_category('shipper', 'a')} AS category, so_number AS description, total_amount AS amount, m.customer_name AS customer, so_number AS memo {BILLABLE}", "bill_date", "due_date", "amount"))
 def _(spark, d):
-    return texts(_outcome(spark, d)[2], "bill_date", "due_date", "amount")
+    return texts(_bills(spark, d), "bill_date", "due_date", "amount")
 
 
 @query("bill_rows", base("extraction", "pages", **RUN) + f""" SELECT invoice_number AS "Bill no.", '{VENDORS['a'].bill_name}' AS "Vendor", strftime(CASE WHEN date_trunc('month', invoice_date) = date_trunc('month', ship_date) THEN invoice_date ELSE ship_date END, '%m/%d/%Y') AS "Bill Date", strftime(CAST(past_due_date - 1 AS DATE), '%m/%d/%Y') AS "Due Date", 'Category Details' AS "Type", {s_category('shipper', 'a')} AS "Category", so_number AS "Description", CAST(total_amount AS VARCHAR) AS "Amount", m.customer_name AS "Customer / Project", so_number AS "Memo" {BILLABLE}""")
 def _(spark, d):
-    return B.bill_rows(_outcome(spark, d)[2])
+    return B.bill_rows(_bills(spark, d))
 
 
 STEP = "CASE WHEN p.parse_error THEN 'parse_pdf' WHEN p.gone IS NOT NULL THEN 'validate_fields' WHEN NOT coalesce(m.success, FALSE) THEN 'match_customer' END"
@@ -463,12 +465,12 @@ STEP = "CASE WHEN p.parse_error THEN 'parse_pdf' WHEN p.gone IS NOT NULL THEN 'v
 
 @query("summary_log", base("extraction", "pages", **RUN) + f""" SELECT p.invoice_id AS "Invoice File", CASE WHEN ({STEP}) IS NULL THEN 'SUCCESS' ELSE 'FAIL' END AS "Status", coalesce(p.invoice_number, '') AS "Bill Number", coalesce(CAST(p.total_amount AS VARCHAR), '') AS "Total Amount", CASE WHEN p.parse_error OR p.gone IS NOT NULL THEN '' ELSE coalesce(m.method, '') END AS "Match Method", CASE WHEN p.parse_error OR p.gone IS NOT NULL THEN '' ELSE coalesce(CAST(m.entry_row AS VARCHAR), '') END AS "Master Row", CASE WHEN p.parse_error OR p.gone IS NOT NULL OR coalesce(m.bol_score, 0) = 0 THEN '' ELSE CAST(m.bol_score AS VARCHAR) END AS "BOL Score", coalesce({STEP}, 'N/A') AS "Fail Step" FROM miss p LEFT JOIN decided m ON p.invoice_id = m.invoice_id""")
 def _(spark, d):
-    return B.summary_rows(_outcome(spark, d)[3]).select("Invoice File", "Status", "Bill Number", "Total Amount", "Match Method", "Master Row", "BOL Score", "Fail Step")
+    return B.summary_rows(_outcome(spark, d)).select("Invoice File", "Status", "Bill Number", "Total Amount", "Match Method", "Master Row", "BOL Score", "Fail Step")
 
 
 @query("summary_rows_all_columns")
 def _(spark, d):
-    return B.summary_rows(_outcome(spark, d, "b")[3], "run", VENDORS["b"].company)
+    return B.summary_rows(_outcome(spark, d, "b"), "run", VENDORS["b"].company)
 
 
 PAGE1 = "SELECT * FROM ext WHERE source = 'page1'"
@@ -754,4 +756,4 @@ def _(spark, d):
 
 @query("run_report")
 def _(spark, d):
-    return _outcome(spark, d)[3].groupBy("fail_step", "severity").agg(F.count("*").alias("n"))
+    return _outcome(spark, d).groupBy("fail_step", "severity").agg(F.count("*").alias("n"))
