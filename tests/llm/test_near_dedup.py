@@ -167,3 +167,11 @@ def test_signatures_estimate_similarity(kind):
         s = signatures(doc, np.concatenate([names, names[b > 0]]), np.concatenate([a, b[b > 0]]), 2, k)
         assert (s != 0).all()
         assert abs((s[0] == s[1]).mean() - exact) < 0.04
+
+
+def test_large_buckets_are_not_split(spark):
+    """One band: splitting a bucket by the bands that follow would lose every link behind the first candidates."""
+    texts = spread(1, 300)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    classes = lambda **kw: sorted((x.doc_id, x.class_id) for x in near_dedup(docs, bands=1, rows=1, **kw).collect())
+    assert classes(cap=20, visitors=1) == classes(cap=1024)

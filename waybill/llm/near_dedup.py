@@ -23,9 +23,8 @@ similarity (after Christiani, "DartMinHash: fast sketching for weighted sets",
    the other nodes once for all its buckets, if that takes fewer rows; its members
    are dealt into blocks of ``CAP``, which the others visit. No pair is written:
    a group first tells which of its nodes have such a pair, then gets their
-   shingles and gives the links. A pair is compared in the first band it shares.
-   Where visitors are too many, a bucket is split by the bands that follow (a pair
-   must then share two bands).
+   shingles and gives the links. A pair is compared in the first band it shares,
+   however many nodes the bucket has.
 """
 
 from __future__ import annotations
@@ -46,8 +45,8 @@ THRESHOLD = 0.8
 BANDS, ROWS = 30, 5
 #: Nodes compared with each other in one task; larger buckets are dealt into blocks.
 CAP = 256
-#: A bucket of more visitors (in units of CAP) is split by further bands, at most DEPTH of them.
-VISITORS, DEPTH = 16, 3
+#: Visitors of a block in one task, in units of CAP; more are dealt into parts.
+VISITORS = 1
 #: Estimates this far below the threshold (four standard errors) are no candidates.
 SLACK = 0.13
 MAX_BROADCAST = 2_000_000
@@ -443,32 +442,20 @@ def near_roots(texts: DataFrame, width: int = SHINGLE, threshold: float = THRESH
     def measured(work: DataFrame, roots: DataFrame) -> tuple[DataFrame, DataFrame]:
         """work with roots, and the buckets of several roots: n, the most frequent root, s nodes of others, blocks."""
         mine = rooted(work, held(roots), "node", "root")
-        per = mine.groupBy("bucket", "depth", "root").agg(F.count("*").alias("c")).groupBy("bucket", "depth").agg(F.sum("c").alias("n"), F.max(F.struct("c", "root")).alias("t"), F.count("*").alias("roots")).filter("roots > 1")
-        per = per.select("bucket", "depth", "n", (F.col("n") - F.col("t.c")).alias("s"), F.col("t.root").alias("top"), _blocks(F.col("n"), cap).alias("blocks"))
+        per = mine.groupBy("bucket", "root").agg(F.count("*").alias("c")).groupBy("bucket").agg(F.sum("c").alias("n"), F.max(F.struct("c", "root")).alias("t"), F.count("*").alias("roots")).filter("roots > 1")
+        per = per.select("bucket", "n", (F.col("n") - F.col("t.c")).alias("s"), F.col("t.root").alias("top"), _blocks(F.col("n"), cap).alias("blocks"))
         return mine, cut(per)
 
     roots = cut(components(checked.filter("linked").select("a", "b")))
     rejected = checked.filter("not linked").select("a", "b")
     if not several and rooted(rooted(rejected, roots, "a", "ra"), roots, "b", "rb").filter("ra <> rb").isEmpty():
         return _by_sha(roots, signed)  # every forest lies within its classes
-    work = members.select("bucket", "node", "last", F.lit(0).alias("depth"))
-    mine, mixed = measured(work, roots)
-    # Buckets with too many visitors: split by the bands that follow, where pairs that belong together meet again.
-    wide = (F.col("blocks") > 1) & (F.col("s") > visitors * cap) & (F.col("depth") < DEPTH)
-    while several and not mixed.filter(wide).isEmpty():
-        split = mixed.filter(wide).select("bucket", "depth")
-        rest = work.join(split, ["bucket", "depth"], "left_anti")
-        inner = work.join(split, ["bucket", "depth"]).join(signed.select("node", "bands"), "node")
-        inner = inner.select("bucket", "node", "last", "depth", F.posexplode("bands").alias("j", "key")).filter("j > last")
-        inner = inner.select(F.xxhash64("bucket", "j", "key").alias("bucket"), "node", F.col("j").alias("last"), (F.col("depth") + 1).alias("depth"))
-        work = cut(rest.unionByName(inner))
-        mine, mixed = measured(work, roots)
+    mine, mixed = measured(members.select("bucket", "node", "last"), roots)
     if mixed.isEmpty():
         return _by_sha(roots, signed)
 
-    # A pair shares no band before a bucket's own; parts of split buckets compare whatever meets there.
-    skip = F.when(F.col("depth") == 0, F.col("last")).otherwise(0).cast("int").alias("skip")
-    mine = cut(mine.join(held(mixed), ["bucket", "depth"]).select("bucket", "node", "root", "top", "n", "s", "blocks", skip))
+    # A pair shares no band before a bucket's own. However large a bucket is, all its pairs of different classes meet.
+    mine = cut(mine.join(held(mixed), "bucket").select("bucket", "node", "root", "top", "n", "s", "blocks", F.col("last").cast("int").alias("skip")))
     strangers = mine.filter("root <> top")
     # The largest class of a bucket at once for all its buckets, where that takes fewer rows.
     seen = cut(strangers.select("top", "node", "root").distinct())
@@ -476,7 +463,7 @@ def near_roots(texts: DataFrame, width: int = SHINGLE, threshold: float = THRESH
     tops = mixed.groupBy("top").agg(F.sum(F.col("n") + F.col("s") * F.col("blocks")).alias("cost")).join(seen.groupBy("top").agg(F.count("*").alias("guests")), "top").join(sizes, "top", "left")
     tops = tops.select("top", "cost", "guests", F.coalesce("size", F.lit(1)).alias("size")).withColumn("blocks", _blocks(F.col("size"), cap))
     chosen = cut(tops.filter(F.col("size") + F.col("guests") * F.col("blocks") <= F.col("cost")))
-    parts = lambda s: F.greatest(F.lit(1), F.ceil(F.col(s) / cap)).cast("int").alias("parts")
+    parts = lambda s: F.greatest(F.lit(1), F.ceil(F.col(s) / (cap * visitors))).cast("int").alias("parts")
     block = F.pmod(F.xxhash64("node"), F.col("blocks").cast("long")).cast("int")
 
     def dealt(own: DataFrame, guests: DataFrame) -> DataFrame:
