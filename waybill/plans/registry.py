@@ -325,8 +325,7 @@ def _(spark, d):
 
 @query("name_disambiguation", base("extraction", **MATCH) + " SELECT n.invoice_id, n.source, n.cand, n.shipto_name, s.score FROM named n JOIN scores s ON n.cn = s.a AND n.rn = s.b")
 def _(spark, d):
-    m = R.match_sources(_extractions(spark, d), _master(spark, d))
-    return m.select("invoice_id", "source", F.explode("matrix").alias("x")).select("invoice_id", "source", "x.*")
+    return R.match_pairs(_extractions(spark, d), _master(spark, d))
 
 
 @query("match_invoice", base("extraction", **MATCH) + s_texts(" SELECT invoice_id, method, severity, success, customer_name, customer_number, master_row, bol_method, bol_score, inv_method, inv_score FROM decided", "master_row", "bol_score", "inv_score"))
