@@ -8,7 +8,8 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from waybill.llm._repeats import Plan, remove_repeats
+import waybill.llm.suffix_dedup as suffix_module
+from waybill.llm._repeats import Plan, Windows, remove_repeats
 from waybill.llm.substring_dedup import sorted_windows, substring_dedup
 from waybill.llm.suffix_dedup import sorted_suffixes, suffix_dedup
 
@@ -134,6 +135,24 @@ def test_large_groups_with_collisions(monkeypatch, bits):
     assert got == want
 
 
+def test_equal_windows_are_sorted_once(monkeypatch):
+    """4,000 windows of three contents in one group, and one content in a group of its own."""
+    r = random.Random(4)
+    texts = [bytes(r.choice(b"ab") for _ in range(50)) for _ in range(3)]
+    of = [r.randrange(3) for _ in range(4000)] + [0] * 50
+    buf = np.frombuffer(b"".join(texts[k] for k in of) + bytes(16), np.uint8)
+    start = np.arange(len(of)) * 50
+    key = np.array([1] * 4000 + [2] * 50)
+    w = Windows(buf, start, start + 50, np.arange(len(of)), np.zeros(len(of), int), key, np.zeros(len(of), int))
+    sorted_, given = suffix_module.merge_sort, []
+    monkeypatch.setattr(suffix_module, "merge_sort", lambda pre, buf, start, *a: given.append(len(start)) or sorted_(pre, buf, start, *a))
+    number, order, starts = sorted_suffixes(w)
+    assert given == [4]
+    want = sorted(range(len(of)), key=lambda k: (key[k], texts[of[k]], k))
+    assert order.tolist() == want and len(starts) == 4
+    assert all((number[a] == number[b]) == ((key[a], of[a]) == (key[b], of[b])) for a, b in zip(want, want[1:]))
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert substring_dedup(docs).collect() == [] and suffix_dedup(docs).collect() == []

@@ -2,9 +2,9 @@
 
 Suffixes that start a window are sorted within their minimiser's group by a
 mergesort whose comparisons find the common extension of two suffixes by binary
-search over prefix polynomial hashes, and then look at one byte. Neighbours
-whose common extension is a whole window are verified byte by byte. All groups
-of a batch are merged together, level by level. See ``_repeats`` for the plan.
+search over prefix polynomial hashes, and then look at one byte. Suffixes whose
+windows have one hash take part once, and these windows are verified byte by
+byte. All groups of a batch are merged together, level by level. See ``_repeats`` for the plan.
 """
 
 from __future__ import annotations
@@ -82,16 +82,19 @@ def sorted_suffixes(w: Windows):
     if not len(w.start):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     most = int(w.end[0] - w.start[0])
-    # Equal windows have their minimiser at the same offset.
-    by = np.lexsort((w.offset, w.key))
-    key, offset = w.key[by], w.offset[by]
-    group = np.cumsum(np.append(False, (key[1:] != key[:-1]) | (offset[1:] != offset[:-1])))
     pre = Prefix(w.buf)
-    inner = merge_sort(pre, w.buf, w.start[by], group, most)
-    order = by[inner]
-    fresh = np.ones(len(order), dtype=bool)
-    a, b = w.start[order[:-1]], w.start[order[1:]]
-    fresh[1:] = (group[1:] != group[:-1]) | (pre.of(a, a + most) != pre.of(b, b + most))
+    hashes = pre.of(w.start, w.start + most)
+    # Equal windows have their minimiser at the same offset. Those with one hash compare as equal, so one of them is sorted for all.
+    by = np.lexsort((hashes, w.offset, w.key))
+    key, offset, hashes = w.key[by], w.offset[by], hashes[by]
+    other = np.append(True, (key[1:] != key[:-1]) | (offset[1:] != offset[:-1]))
+    first = np.flatnonzero(other | np.append(True, hashes[1:] != hashes[:-1]))
+    inner = merge_sort(pre, w.buf, w.start[by[first]], np.cumsum(other)[first], most)
+    size = np.diff(np.append(first, len(by)))[inner]
+    begin = np.cumsum(size) - size
+    order = by[np.repeat(first[inner] - begin, size) + np.arange(len(by))]
+    fresh = np.zeros(len(order), dtype=bool)
+    fresh[begin] = True
     return numbered(order, told_apart(w, order, fresh))
 
 
