@@ -68,6 +68,44 @@ def test_no_shuffle_carries_a_matrix(spark, monkeypatch, most):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def _logs(df):
+    return sorted(((r.invoice_id or "", r.log) for r in df.collect()))
+
+
+@pytest.mark.parametrize("most", [0, 10_000])
+def test_group_logs_are_those_of_each_invoice(spark, most):
+    """Empty and odd names, a source's rows twice, rows of no source, no address, no invoice number."""
+    at = ("3 C ST", "", "TAMPA", "FL", "33601")
+    rows = [("e", "bol", "Name", [], at), ("f", "bol", "Näme 3:x[2(", ["", "--", "Delta"], at), ("g", "bol", None, ["Delta South"], at), ("g", "bol", None, ["Zzz"], at), ("g", "page1", None, None, at), ("h", "fax", None, ["x"], at)]
+    rows += [("i", "bol", "x", ["x"], None), ("i", "page1", "y", ["y"], ("", "", "TAMPA", "FL", "33601")), ("j", "page1", "gamma north", None, at), (None, "page1", "gamma north", None, at)]
+    ext = _extractions(spark).unionByName(spark.createDataFrame(rows, "invoice_id string, source string, name string, name_candidates array<string>, address " + ADDRESS))
+    master = _site(spark).unionByName(_site(spark).limit(1).withColumns({"row": F.lit(1), "shipto_name": F.lit(None).cast("string")}))
+    for deny in (None, ["delta"]):
+        got = _logs(R.group_logs(R.alike(ext).cache(), master, deny, max_broadcast=most))
+        assert got == _logs(R.match_log(R.match_invoices(ext, master, deny))) and len(got) == 11
+
+
+def test_log_of_alike_invoices_is_made_once(spark):
+    at = F.struct(*[F.lit(v).alias(k) for k, v in (("street", "3 C ST"), ("line_2", ""), ("city", "TAMPA"), ("state", "FL"), ("postcode", "33601"))])
+    n = 2 * R.ALIKE_IDS + 500
+    ext = spark.range(n).select(F.col("id").cast("string").alias("invoice_id"), F.lit("bol").alias("source"), F.lit(None).cast("string").alias("name"), F.array(F.lit("Delta South")).alias("name_candidates"), F.when(F.col("id") % 100 > 0, at).alias("address"))
+    groups = R.alike(ext).cache()
+    assert groups.count() <= 5 and groups.agg(F.max(F.size("ids"))).first()[0] <= R.ALIKE_IDS
+    logs = R.group_logs(groups, _site(spark)).select("invoice_id", F.length("log").alias("n"), F.sha2("log", 256).alias("log")).collect()
+    assert sorted(int(r.invoice_id) for r in logs) == list(range(n)) and len({r.log for r in logs}) == 2
+
+
+def test_registered_match_log_goes_by_groups(spark, monkeypatch):
+    """The query scores and writes each different log once, not once an invoice."""
+    from waybill.plans import registry
+
+    seen, whole = [], R.group_logs
+    monkeypatch.setattr(R, "group_logs", lambda groups, *a: seen.append((groups.count(), groups.agg(F.sum(F.size("ids"))).first()[0])) or whole(groups, *a))
+    got = registry.QUERIES["match_log"](spark, "/root/testdata/sf0.001")
+    assert _logs(got) == _logs(R.match_log(registry._match(spark, "/root/testdata/sf0.001", matrix=True)))
+    assert seen and seen[0][0] < seen[0][1] == got.count()
+
+
 def test_outcome_without_bills(spark):
     parsed = spark.createDataFrame([("a", False), ("b", False), ("c", True)], "invoice_id string, parse_error boolean")
     match = R.match_invoices(_extractions(spark), _site(spark), matrix=False)
